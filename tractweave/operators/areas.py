@@ -38,7 +38,19 @@ def area_pools(area_pumas: DataFrame) -> tuple[DataFrame, DataFrame]:
     return area_pool, pool_pumas
 
 
-def area_seed(area_pumas: DataFrame, hh_seed: DataFrame, person_seed: DataFrame) -> DataFrame:
-    """Every household with persons in the PUMA of each area."""
-    with_persons = hh_seed.join(person_seed.select("SERIALNO"), "SERIALNO", "left_semi")
-    return area_pumas.join(with_persons, "PUMA")
+def area_seed_sizes(area_pumas: DataFrame, hh_seed: DataFrame, person_seed: DataFrame) -> DataFrame:
+    """Seed households with persons, and those persons, available to each area.
+
+    Counted per PUMA first, so the area x household rows behind the numbers are never made.
+    """
+    sizes = person_seed.groupBy("SERIALNO").agg(F.count("*").alias("np"))
+    per_puma = (
+        hh_seed.join(sizes, "SERIALNO")
+        .groupBy("PUMA")
+        .agg(F.count("*").alias("households"), F.sum("np").alias("persons"))
+    )
+    return (
+        area_pumas.join(per_puma, "PUMA")
+        .groupBy("GEOID")
+        .agg(F.sum("households").alias("households"), F.sum("persons").alias("persons"))
+    )
