@@ -154,12 +154,13 @@ def subtract_gq(targets: DataFrame, gq_counts: DataFrame) -> DataFrame:
 
     Adds ``shortfall``: by how much the group-quarters count exceeded the target, which is then held at zero.
     """
-    gap = F.col("target") - F.coalesce(F.col("gq_count"), F.lit(0))
+    count = F.coalesce(F.col("gq_count"), F.lit(0))
+    gap = F.col("target") - count
     return targets.join(gq_counts, ["GEOID", "attr", "level"], "left").select(
         "GEOID",
         "attr",
         "level",
         # greatest() skips NULL, so an unknown target has to be kept by hand
         F.when(gap.isNotNull(), F.greatest(gap, F.lit(0.0))).alias("target"),
-        F.greatest(-gap, F.lit(0.0)).alias("shortfall"),
+        F.greatest(count - F.col("target"), F.lit(0.0)).alias("shortfall"),
     )
