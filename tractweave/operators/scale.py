@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,24 +14,29 @@ from pyspark.sql.window import Window
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+@cache
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="tractweave-")
+
+
 def stage_dir(spark: SparkSession) -> str:
-    """Shared folder of the cluster. A local session without one gets a temporary folder; a cluster has to name it."""
+    """Shared folder the cluster names. A local session without one gets a temporary folder; a cluster has to name it."""
     path = spark.conf.get(CHECKPOINT_DIR, None)
     if path is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        path = tempfile.mkdtemp(prefix="tractweave-")
-        spark.conf.set(CHECKPOINT_DIR, path)
-    return path
+        path = _own_dir()
+    return path.rstrip("/")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
-    Cuts the lineage so that a lost executor costs one stage, and gives the planner a true size for later joins.
+    Cuts the lineage so that a lost executor costs one stage, and gives the planner a true size for later joins. All
+    tables of an application lie in one folder, which can be dropped when its results are written.
     """
     spark = df.sparkSession
-    path = f"{stage_dir(spark).rstrip('/')}/tractweave/{name}-{uuid.uuid4().hex}"
+    path = f"{stage_dir(spark)}/tractweave/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -16,6 +16,7 @@ from tractweave.operators import gq as G
 from tractweave.operators import seeds, targets
 from tractweave.operators import validate as V
 from tractweave.operators import weights as W
+from tractweave.operators.scale import stage
 from tractweave.plans import analogs as T
 from tractweave.plans import oracles as O
 from tractweave.plans.synth import Population, synth_gq, synth_population
@@ -324,8 +325,13 @@ def residual_level(spark, sf):
 # --- seeds -----------------------------------------------------------------------------------------------------------
 
 
-def _seeds(spark, sf):
-    pums = T.pums(spark, sf)
+def _pums(spark, sf):
+    """Microdata as a stored table, as a user would have it; for queries that read it several times."""
+    return stage(T.pums(spark, sf), "pums")
+
+
+def _seeds(spark, sf, pums=None):
+    pums = _pums(spark, sf) if pums is None else pums
     return seeds.hh_seed(pums), seeds.person_seed(pums, T.occupations(spark, sf))
 
 
@@ -379,16 +385,16 @@ def _fitted(fit: W.Fit) -> DataFrame:
 
 @query(_fitted_sql(O.RAKE, GQ_ATTRS, "rake_ix"))
 def rake_k2(spark, sf):
-    totals = targets.gq_targets(_gq_totals(spark, sf))
+    totals = stage(targets.gq_targets(_gq_totals(spark, sf)), "gq_targets")
     populated = totals.groupBy("GEOID").agg(F.sum("target").alias("t")).filter("t > 0")
     pools = A.area_pools(A.area_pumas(populated, T.crosswalk(spark, sf)))
-    seed = seeds.gq_seed(T.pums(spark, sf)).withColumn("SERIALNO", F.concat_ws("-", "SERIALNO", "SPORDER"))
+    seed = stage(seeds.gq_seed(T.pums(spark, sf)), "gq_seed").withColumn("SERIALNO", F.concat_ws("-", "SERIALNO", "SPORDER"))
     return _fitted(W.fit_weights(*pools, seed, GQ_ATTRS, totals, cfg=TWO_SWEEPS.fit))
 
 
-def _fit_inputs(spark, sf):
-    hh, persons = _seeds(spark, sf)
-    homes = T.residence(spark, sf, hh)
+def _fit_inputs(spark, sf, pums=None):
+    hh, persons = _seeds(spark, sf, pums)
+    homes = stage(T.residence(spark, sf, hh), "homes")
     return (
         hh,
         persons,
@@ -400,7 +406,8 @@ def _fit_inputs(spark, sf):
 def _fit(spark, sf, cfg: FitConfig) -> W.Fit:
     hh, persons, hh_t, p_t = _fit_inputs(spark, sf)
     pools = A.area_pools(A.area_pumas(T.areas(spark, sf), T.crosswalk(spark, sf)))
-    return W.fit_weights(*pools, hh, O.FIT_HH, hh_t.unionByName(p_t), persons, O.FIT_P, cfg)
+    wanted = stage(hh_t.unionByName(p_t), "targets")
+    return W.fit_weights(*pools, hh, O.FIT_HH, wanted, persons, O.FIT_P, cfg)
 
 
 O.VIEWS["ipu_ix"] = O._index((*O.FIT_HH, *O.FIT_P), "true_all")
@@ -423,8 +430,8 @@ FROM homes JOIN (SELECT DISTINCT SERIALNO, NP FROM hu) USING (SERIALNO)"""
 HOME_DRAW = O.position_chain("home", "home_w")
 
 
-def _home_draw(spark, sf) -> DataFrame:
-    pums = T.pums(spark, sf)
+def _home_draw(spark, sf, pums=None) -> DataFrame:
+    pums = _pums(spark, sf) if pums is None else pums
     sizes = seeds.households_only(pums).groupBy("SERIALNO").agg(F.max("NP").alias("NP"))
     homes = T.residence(spark, sf, seeds.hh_seed(pums)).join(sizes, "SERIALNO")
     return D.weighted_draw(homes.select("GEOID", "SERIALNO", (F.lit(1) + F.col("NP") * 0.37).alias("weight")))
@@ -435,9 +442,11 @@ def weighted_draw(spark, sf):
     return _home_draw(spark, sf)
 
 
-def _home_persons(spark, sf) -> DataFrame:
-    hh, persons = _seeds(spark, sf)
-    return D.expand_persons(_home_draw(spark, sf), persons, (*O.FIT_HH, *O.FIT_P), hh=hh)
+def _home_persons(spark, sf, pums=None) -> DataFrame:
+    pums = _pums(spark, sf) if pums is None else pums
+    hh, persons = _seeds(spark, sf, pums)
+    draws = stage(_home_draw(spark, sf, pums), "draws")
+    return D.expand_persons(draws, persons, (*O.FIT_HH, *O.FIT_P), hh=hh)
 
 
 @query(O.expand(HOME_DRAW))
@@ -448,8 +457,9 @@ def expand_persons(spark, sf):
 # --- group quarters and population -----------------------------------------------------------------------------------
 
 
-def _gq_pop(spark, sf) -> DataFrame:
-    seed = seeds.gq_seed(T.pums(spark, sf)).withColumn("pid", F.concat_ws("-", "SERIALNO", "SPORDER"))
+def _gq_pop(spark, sf, pums=None) -> DataFrame:
+    pums = T.pums(spark, sf) if pums is None else pums
+    seed = seeds.gq_seed(pums).withColumn("pid", F.concat_ws("-", "SERIALNO", "SPORDER"))
     return synth_gq(
         T.areas(spark, sf),
         T.crosswalk(spark, sf),
@@ -481,19 +491,22 @@ def gq_clean(spark, sf):
 
 @query("SELECT * FROM corrected")
 def gq_correction(spark, sf):
-    *_, p_t = _fit_inputs(spark, sf)
-    return targets.subtract_gq(p_t, G.gq_marginals(_gq_pop(spark, sf), T.occupations(spark, sf), P_ATTRS))
+    pums = _pums(spark, sf)
+    *_, p_t = _fit_inputs(spark, sf, pums)
+    return targets.subtract_gq(p_t, G.gq_marginals(_gq_pop(spark, sf, pums), T.occupations(spark, sf), P_ATTRS))
 
 
 @query(f"{O.expand(HOME_DRAW)} UNION ALL {O.gq_rows((*O.FIT_HH, *O.FIT_P))}")
 def append_gq(spark, sf):
-    attrs = (*O.FIT_HH, *O.FIT_P)
-    return G.append_gq(_home_persons(spark, sf), G.gq_clean(_gq_pop(spark, sf), T.occupations(spark, sf), attrs))
+    attrs, pums = (*O.FIT_HH, *O.FIT_P), _pums(spark, sf)
+    return G.append_gq(_home_persons(spark, sf, pums), G.gq_clean(_gq_pop(spark, sf, pums), T.occupations(spark, sf), attrs))
 
 
 def population(spark, sf, cfg: SynthConfig = TWO_SWEEPS) -> tuple[Population, DataFrame]:
     """Synthetic population of every area with group quarters, and the uncorrected targets."""
-    hh, persons, hh_t, p_t = _fit_inputs(spark, sf)
+    pums = _pums(spark, sf)
+    hh, persons, hh_t, p_t = _fit_inputs(spark, sf, pums)
+    hh_t, p_t = stage(hh_t, "hh_targets"), stage(p_t, "p_targets")
     result = synth_population(
         T.areas(spark, sf),
         T.crosswalk(spark, sf),
@@ -503,7 +516,7 @@ def population(spark, sf, cfg: SynthConfig = TWO_SWEEPS) -> tuple[Population, Da
         p_t,
         O.FIT_HH,
         O.FIT_P,
-        _gq_pop(spark, sf),
+        _gq_pop(spark, sf, pums),
         T.occupations(spark, sf),
         cfg,
     )

@@ -38,10 +38,11 @@ def synth_gq(
 
     Areas whose targets add up to nothing get no persons. ``id_col`` identifies a seed person.
     """
+    gq_targets = stage(gq_targets, "gq_targets")
     populated = gq_targets.groupBy("GEOID").agg(F.sum("target").alias("t")).filter("t > 0").select("GEOID")
     pumas = area_pumas(areas.join(populated, "GEOID", "left_semi"), crosswalk, n_chars)
     area_pool, pool_pumas = area_pools(pumas)
-    seed = gq_seed.withColumn("SERIALNO", F.col(id_col))
+    seed = stage(gq_seed.withColumn("SERIALNO", F.col(id_col)), "gq_seed")
     fit = fit_weights(area_pool, pool_pumas, seed, GQ_ATTRS, gq_targets, cfg=cfg.fit)
     draws = draw_households(fit, cfg.draw).select("GEOID", "new_id", "SERIALNO")
     p_id = F.concat("GEOID", F.lit("GQ"), F.col("new_id").cast("string"))
@@ -68,6 +69,7 @@ def synth_population(
     Group-quarters persons are taken off the person targets before weighting and appended at the end.
     """
     attrs = [*hh_attrs, *p_attrs]
+    hh_seed, person_seed = stage(hh_seed, "hh_seed"), stage(person_seed, "person_seed")
     if gq_pop is not None:
         gq_pop = stage(gq_pop, "gq")
         counts = gq_marginals(gq_pop, occp, p_attrs, breaks=cfg.breaks, military=military)
@@ -79,10 +81,7 @@ def synth_population(
     p_rows = person_targets.filter(F.col("attr").isin(list(p_attrs)))
     targets = stage(hh_rows.select(columns).unionByName(p_rows.select(columns)), "targets")
     area_pool, pool_pumas = area_pools(area_pumas(areas, crosswalk, n_chars))
-    hh_seed, person_seed = stage(hh_seed, "hh_seed"), stage(person_seed, "person_seed")
-    fit = fit_weights(
-        area_pool, pool_pumas, hh_seed, hh_attrs, targets, person_seed, p_attrs, cfg.fit
-    )
+    fit = fit_weights(area_pool, pool_pumas, hh_seed, hh_attrs, targets, person_seed, p_attrs, cfg.fit)
     draws = stage(draw_households(fit, cfg.draw), "draws")
     persons = expand_persons(draws, person_seed, attrs, cfg.draw, hh_seed)
     if gq_pop is not None:
