@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tractweave.functions import scalars as S
+from tractweave.operators.scale import stage
 
 
 def areas_with_population(acs: DataFrame, fips=None, variable: str = "B01001_001") -> DataFrame:
@@ -30,12 +32,12 @@ def area_pools(area_pumas: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Areas inside one PUMA share its pool; an area over several PUMAs has a pool of its own.
     """
-    pool = F.when(F.min("PUMA") == F.max("PUMA"), F.concat(F.lit("P"), F.min("PUMA"))).otherwise(
+    puma, area = F.col("PUMA"), Window.partitionBy("GEOID")
+    pool = F.when(F.min(puma).over(area) == F.max(puma).over(area), F.concat(F.lit("P"), puma)).otherwise(
         F.concat(F.lit("A"), F.col("GEOID"))
     )
-    area_pool = area_pumas.groupBy("GEOID").agg(pool.alias("pool"))
-    pool_pumas = area_pumas.join(area_pool, "GEOID").select("pool", "PUMA").distinct()
-    return area_pool, pool_pumas
+    pooled = stage(area_pumas.select("GEOID", "PUMA", pool.alias("pool")), "pooled")
+    return pooled.select("GEOID", "pool").distinct(), pooled.select("pool", "PUMA").distinct()
 
 
 def area_seed_sizes(area_pumas: DataFrame, hh_seed: DataFrame, person_seed: DataFrame) -> DataFrame:

@@ -56,8 +56,13 @@ def hex_bucket(hex_text: Column, n_buckets: Column) -> Column:
     return F.shiftright(lead * n_buckets.cast("long"), 32)
 
 
+def int_div(a: Column, b: Column) -> Column:
+    """Integer division that stays exact for large numbers."""
+    return F.call_function("div", a, b)
+
+
 def ceil_div(a: Column, b: Column) -> Column:
-    return F.floor((a + b - 1) / b).cast("long")
+    return int_div(a + b - 1, b)
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence, out: str, bucket: Column | None = None) -> DataFrame:
@@ -67,7 +72,7 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence, out: str, b
     before. It is NULL for groups that need no split, and those take no part in the extra pass.
     """
     if bucket is None:
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
+        return df.withColumn(out, _place(Window.partitionBy(*keys).orderBy(*order)))
     df = df.withColumn("_run", bucket)
     before = Window.partitionBy(*keys).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
@@ -79,13 +84,17 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence, out: str, b
     )
     within = Window.partitionBy(*keys, "_run").orderBy(*order)
     return (
-        df.withColumn(out, F.row_number().over(within) - 1)
+        df.withColumn(out, _place(within))
         .join(shifts, [*keys, "_run"], "left")
         .withColumn(out, F.col(out) + F.coalesce("_shift", F.lit(0)))
         .drop("_run", "_shift")
     )
 
 
+def _place(window) -> Column:
+    return F.row_number().over(window).cast("long") - 1
+
+
 def running_total(df: DataFrame, keys: Sequence[str], order: Sequence, value: str, out: str) -> DataFrame:
     """Sum of ``value`` over the rows before this one in its group."""
     before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
@@ -102,7 +111,7 @@ def match_positions(points: DataFrame, spans: DataFrame, keys: Sequence[str]) ->
     base, width = F.col("base"), F.col("width")
 
     def slice_of(pos: Column) -> Column:
-        return F.floor((pos - base) / width).cast("long")
+        return int_div(pos - base, width)
 
     marks = spans.withColumn(
         "slice", F.explode(F.sequence(slice_of(F.col("lo")), slice_of(F.col("hi") - 1)))

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from tractweave.config import GQ_ATTRS, NOT_WORKING_GROUP, Breaks, canonical
 from tractweave.functions import scalars as S
+from tractweave.functions.local import small_table
+from tractweave.operators.scale import stage
 from tractweave.sources.characteristics import TABLE_OF
 
 # Variables that are totals over other variables of the same table.
@@ -55,7 +57,7 @@ def person_level_map(lookups: Mapping[str, DataFrame], attrs: Sequence[str], bre
 
     def schools():
         spark = next(iter(lookups.values())).sparkSession
-        names = spark.createDataFrame([(v,) for v in S.SCHOOL_VARIABLES], "name string")
+        names = small_table(spark, {"name": list(S.SCHOOL_VARIABLES)}, "name string")
         return names.withColumn("school", S.school_variable(F.col("name")))
 
     makers = {
@@ -76,7 +78,7 @@ def _occupation_rows(occp: DataFrame) -> DataFrame:
         occp.filter((F.length("Code2") < 10) & F.col("acs_var").isNotNull()).select("acs_var", "occ_group").distinct()
     )
     residual = F.lit(NOT_WORKING_GROUP)
-    everyone = occp.sparkSession.createDataFrame([(POPULATION,)], "acs_var string")
+    everyone = small_table(occp.sparkSession, {"acs_var": [POPULATION]}, "acs_var string")
     return _union(
         [
             _rows(detailed, "acs_var", "Occ_Group", F.col("occ_group")),
@@ -93,10 +95,14 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def apply_level_map(acs: DataFrame, level_map: DataFrame, tables: Sequence[str], fips=None) -> DataFrame:
-    """Strict totals by area, attribute and level. A level reached by subtraction only is left out."""
+    """Strict totals by area, attribute and level. A level reached by subtraction only is left out.
+
+    The level map is stored first: with its true size known the planner can broadcast it, and the totals, which have few
+    distinct variables, are not shuffled by variable.
+    """
     return (
         acs.filter(F.col("table_id").isin(sorted(tables)) & S.in_region(F.col("GEOID"), fips))
-        .join(level_map, "variable")
+        .join(stage(level_map, "level_map"), "variable")
         .groupBy("GEOID", "attr", "level")
         .agg(S.strict_sum(F.col("estimate") * F.col("sign")).alias("target"), F.max("sign").alias("sign"))
         .filter("sign = 1")

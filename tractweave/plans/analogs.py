@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tractweave.config import DrawConfig
+from tractweave.functions.local import small_table
+from tractweave.functions.reshape import melt
 from tractweave.operators.scale import number_rows
 from tractweave.sources.files import SEGMENT_CELLS
-from tractweave.sources.lookups import crosswalk_lookup
+from tractweave.sources import lookups as build
 
 # Public variable labels of the totals tables.
 _TOTAL = "Estimate!!Total:"
@@ -107,7 +109,7 @@ def crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = table(spark, sf_dir, "supplier").join(
         table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
     )
-    return crosswalk_lookup(
+    return build.crosswalk_lookup(
         both.select(
             pad(F.col("n_regionkey"), 2).alias("STATEFP"),
             pad(F.col("n_nationkey"), 3).alias("COUNTYFP"),
@@ -127,35 +129,42 @@ def acs(spark: SparkSession, sf_dir: str, tables: Sequence[str] | None = None) -
     One value per table is unknown in tracts that end in 7.
     """
     names = list(tables or [*LABELS, "S2401"])
-    part = F.col("l_partkey")
-
-    def variable(name: str) -> Column:
-        if name == "S2401":
-            return F.concat(F.lit("S2401_C01_"), pad(part % N_OCCUPATIONS, 3))
-        return F.concat(F.lit(f"{name}_"), pad(part % len(LABELS[name]) + 1, 3))
-
-    each = F.explode(F.array(*[F.struct(F.lit(n).alias("table_id"), variable(n).alias("variable")) for n in names]))
-    tract = F.concat_ws("", pad(F.col("n_regionkey"), 2), pad(F.col("n_nationkey"), 3), pad(F.col("s_suppkey"), 6))
+    codes = [
+        F.struct(
+            F.lit(i).alias("t"),
+            (F.col("l_partkey") % (N_OCCUPATIONS if n == "S2401" else len(LABELS[n]))).cast("int").alias("code"),
+        )
+        for i, n in enumerate(names)
+    ]
+    # summed on numbers first: codes become text and suppliers tracts on the few rows that are left
+    totals = (
+        table(spark, sf_dir, "lineitem")
+        .select("l_suppkey", "l_quantity", F.explode(F.array(*codes)).alias("v"))
+        .groupBy("l_suppkey", "v.t", "v.code")
+        .agg(F.sum("l_quantity").alias("estimate"))
+    )
+    tract = F.concat(pad(F.col("n_regionkey"), 2), pad(F.col("n_nationkey"), 3), pad(F.col("s_suppkey"), 6))
     tracts = (
         table(spark, sf_dir, "supplier")
         .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", tract.alias("GEOID"))
+        .select(F.col("s_suppkey").alias("l_suppkey"), tract.alias("GEOID"))
+    )
+    name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("t") + 1)
+    number = F.when(name == "S2401", F.concat(F.lit("S2401_C01_"), pad(F.col("code"), 3))).otherwise(
+        F.concat(name, F.lit("_"), pad(F.col("code") + 1, 3))
     )
     unknown = F.col("variable").endswith("_007") & F.col("GEOID").endswith("7")
     return (
-        table(spark, sf_dir, "lineitem")
-        .join(tracts, F.col("l_suppkey") == F.col("s_suppkey"))
-        .select("GEOID", "l_quantity", each.alias("v"))
-        .groupBy("v.table_id", "GEOID", "v.variable")
-        .agg(F.sum("l_quantity").alias("estimate"))
+        totals.join(tracts, "l_suppkey")
+        .select(name.alias("table_id"), "GEOID", number.alias("variable"), "estimate")
         .withColumn("estimate", F.when(~unknown, F.col("estimate")))
     )
 
 
 def dictionary(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Variable dictionary of one table in many editions: parts in order fill edition after edition."""
-    labels = spark.createDataFrame([(i, x) for i, x in enumerate(LABELS[name])], "place long, label string")
     n = len(LABELS[name])
+    labels = small_table(spark, {"place": list(range(n)), "label": LABELS[name]}, "place long, label string")
     return (
         table(spark, sf_dir, "part")
         .select(F.floor(F.col("p_partkey") / n).cast("int").alias("edition"), (F.col("p_partkey") % n).alias("place"))
@@ -217,26 +226,27 @@ def occupations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.filter("Code <> '0096'")
 
 
-def lookups(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    from tractweave.sources import lookups as build
-
-    return {
-        "hhsize_type": build.hhsize_type_lookup(variables(spark, sf_dir, "B11016")),
-        "hhincome": build.income_lookup(variables(spark, sf_dir, "B19001")),
-        "sex_by_age": build.sex_age_lookup(variables(spark, sf_dir, "B01001")),
-        "race_eth": build.race_eth_lookup(variables(spark, sf_dir, "B03002")),
-        "grade": build.grade_lookup(variables(spark, sf_dir, "B14007")),
-        "occp": occupations(spark, sf_dir),
+def lookups(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> dict[str, DataFrame]:
+    """The named lookup tables, built from the dictionaries."""
+    builders = {
+        "hhsize_type": lambda: build.hhsize_type_lookup(variables(spark, sf_dir, "B11016")),
+        "hhincome": lambda: build.income_lookup(variables(spark, sf_dir, "B19001")),
+        "sex_by_age": lambda: build.sex_age_lookup(variables(spark, sf_dir, "B01001")),
+        "race_eth": lambda: build.race_eth_lookup(variables(spark, sf_dir, "B03002")),
+        "grade": lambda: build.grade_lookup(variables(spark, sf_dir, "B14007")),
+        "occp": lambda: occupations(spark, sf_dir),
     }
+    return {n: builders[n]() for n in names}
 
 
 def segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """63 cells per record: line counts by supplier, cell from the part number."""
-    cell = F.col("l_partkey") % SEGMENT_CELLS + 1
-    counts = [
-        F.count(F.when(cell == i, F.lit(1))).cast("double").alias(f"P04300{i:02d}") for i in range(1, SEGMENT_CELLS + 1)
-    ]
-    return table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("LOGRECNO")).agg(*counts)
+    cells = range(1, SEGMENT_CELLS + 1)
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("LOGRECNO"), (F.col("l_partkey") % SEGMENT_CELLS + 1).alias("cell")
+    )
+    wide = lines.groupBy("LOGRECNO").pivot("cell", list(cells)).count()
+    return wide.selectExpr("LOGRECNO", *[f"CAST(coalesce(`{i}`, 0) AS double) AS P04300{i:02d}" for i in cells])
 
 
 def geo_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,14 +283,15 @@ def geo_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def residence(spark: SparkSession, sf_dir: str, hh_seed: DataFrame) -> DataFrame:
     """True home tract of each seed household: the tracts of a PUMA in turn, by household number."""
-    xw = crosswalk(spark, sf_dir).select(F.col("PUMA5CE").alias("PUMA"), F.col("CTFP").alias("GEOID"))
-    homes = number_rows(xw, ["PUMA"], ["GEOID"], "place").join(
-        xw.groupBy("PUMA").agg(F.count("*").alias("n_tracts")), "PUMA"
+    rows = DrawConfig().rows_per_task
+    xw = crosswalk(spark, sf_dir).select(
+        F.col("PUMA5CE").alias("PUMA"), F.col("CTFP").alias("GEOID"), F.col("TRACTCE").cast("long").alias("tract")
     )
+    sizes = xw.groupBy("PUMA").agg(F.count("*").alias("n_tracts"))
+    run = F.when(F.col("n_tracts") > rows, F.floor(F.col("tract") / rows).cast("long"))
+    homes = number_rows(xw.join(sizes, "PUMA"), ["PUMA"], ["GEOID"], "place", run)
     number = F.substring("SERIALNO", 7, 7).cast("long")
-    sized = hh_seed.select("SERIALNO", "PUMA", number.alias("number")).join(
-        homes.select("PUMA", "n_tracts").distinct(), "PUMA"
-    )
+    sized = hh_seed.select("SERIALNO", "PUMA", number.alias("number")).join(sizes, "PUMA")
     return (
         sized.withColumn("place", F.col("number") % F.col("n_tracts"))
         .join(homes.select("PUMA", "place", "GEOID"), ["PUMA", "place"])
@@ -290,8 +301,6 @@ def residence(spark: SparkSession, sf_dir: str, hh_seed: DataFrame) -> DataFrame
 
 def true_targets(spark: SparkSession, sf_dir: str, seed: DataFrame, homes: DataFrame, attrs: Sequence[str], times: int = 5):
     """Targets that some weights reproduce exactly: a multiple of the counts by true home tract."""
-    from tractweave.functions.reshape import melt
-
     rows = melt(seed.join(homes, "SERIALNO"), ["GEOID"], attrs)
     return (
         rows.filter("level IS NOT NULL")

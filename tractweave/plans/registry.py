@@ -265,7 +265,7 @@ def strict_sum(spark, sf):
 
 
 def _hh_targets(spark, sf):
-    look = T.lookups(spark, sf)
+    look = T.lookups(spark, sf, ["hhsize_type", "hhincome"])
     return targets.hh_targets(T.acs(spark, sf, ["B11016", "B19001"]), look, HH_ATTRS)
 
 
@@ -276,7 +276,9 @@ def hh_targets(spark, sf):
 
 @query("SELECT * FROM person_targets")
 def person_targets(spark, sf):
-    return targets.person_targets(T.acs(spark, sf), T.lookups(spark, sf), P_ATTRS)
+    look = T.lookups(spark, sf, ["sex_by_age", "race_eth", "grade", "occp"])
+    acs = T.acs(spark, sf, ["B01001", "B03002", "B14007", "B14003", "S2401"])
+    return targets.person_targets(acs, look, P_ATTRS)
 
 
 @query("SELECT * FROM gq_targets")

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tractweave.functions.local import small_table
+
 # Characteristic, survey columns, totals table.
 CHARACTERISTICS = (
     ("Sex", ("SEX",), "B01001"),
@@ -25,8 +28,17 @@ TABLE_OF |= {"Hispanic": TABLE_OF["Ethnicity"], "Occ_Group": TABLE_OF["Occupatio
 
 
 def characteristic_map(spark: SparkSession) -> DataFrame:
-    rows = [(name, list(cols), table, i) for i, (name, cols, table) in enumerate(CHARACTERISTICS)]
-    return spark.createDataFrame(rows, "characteristic string, pums array<string>, acs string, ord int")
+    names, columns, tables = zip(*CHARACTERISTICS)
+    return small_table(
+        spark,
+        {
+            "characteristic": names,
+            "pums": [list(c) for c in columns],
+            "acs": tables,
+            "ord": pa.array(range(len(names)), pa.int32()),
+        },
+        "characteristic string, pums array<string>, acs string, ord int",
+    )
 
 
 def requested(chars: Sequence[str]) -> list[tuple]:
@@ -69,7 +81,7 @@ def shared_tables(char_map: DataFrame) -> DataFrame:
 def split_variables(meta: DataFrame, columns: DataFrame | Sequence[str], year: int, survey: str) -> DataFrame:
     """Each survey column as a household or a person variable, by the metadata of one survey."""
     if not isinstance(columns, DataFrame):
-        columns = meta.sparkSession.createDataFrame([(c,) for c in columns], "var_code string")
+        columns = small_table(meta.sparkSession, {"var_code": list(columns)}, "var_code string")
     housing = (
         meta.filter((F.col("year") == year) & (F.col("survey") == survey) & (F.col("level") == "housing"))
         .select("var_code")
