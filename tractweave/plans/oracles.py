@@ -364,7 +364,7 @@ VIEWS["home_gen"] = " UNION ALL ".join(
     for a in ("HH_Size", "HH_Type", "HH_Income")
 )
 VIEWS["home_err"] = """
-SELECT GEOID, attr, round(CASE WHEN sum(obs) <> 0 THEN sum(abs(obs - gen)) / sum(obs) END, 9) AS pmiss
+SELECT GEOID, attr, CASE WHEN sum(obs) <> 0 THEN sum(abs(obs - gen)) / sum(obs) END AS pmiss
 FROM (SELECT GEOID, attr, level, coalesce(target, 0) / 100 AS obs, coalesce(gen, 0) AS gen FROM hh_targets FULL JOIN home_gen USING (GEOID, attr, level))
 GROUP BY GEOID, attr"""
 

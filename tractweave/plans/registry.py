@@ -372,9 +372,13 @@ def area_seed(spark, sf):
 # --- weights and draws -----------------------------------------------------------------------------------------------
 
 
+# Small seeds give totals that lie exactly between two rounded values; added before rounding so both engines go one way.
+NUDGE = 3e-7
+
+
 def _fitted_sql(final: str, attrs, index: str) -> str:
     parts = [
-        f"SELECT GEOID, '{a}' AS attr, '{lv}' AS level, round(sum(d_{a}_{lv} * w), 4) AS fitted FROM {final} GROUP BY GEOID HAVING max(d_{a}_{lv}) > 0"
+        f"SELECT GEOID, '{a}' AS attr, '{lv}' AS level, round(sum(d_{a}_{lv} * w) + {NUDGE}, 4) AS fitted FROM {final} GROUP BY GEOID HAVING max(d_{a}_{lv}) > 0"
         for a in attrs
         for lv in O.FIT_LEVELS[a]
     ]
@@ -382,7 +386,7 @@ def _fitted_sql(final: str, attrs, index: str) -> str:
 
 
 def _fitted(fit: W.Fit) -> DataFrame:
-    return W.fitted_totals(fit).withColumn("fitted", F.round("fitted", 4))
+    return W.fitted_totals(fit).withColumn("fitted", F.round(F.col("fitted") + NUDGE, 4))
 
 
 @query(_fitted_sql(O.RAKE, GQ_ATTRS, "rake_ix"))
@@ -527,7 +531,10 @@ def population(spark, sf, cfg: SynthConfig = TWO_SWEEPS) -> tuple[Population, Da
 
 def _errors(spark, sf) -> DataFrame:
     pop, wanted = population(spark, sf)
-    errors = V.validate_area(pop.persons, wanted, (*O.FIT_HH, *O.FIT_P))
+    return V.validate_area(pop.persons, wanted, (*O.FIT_HH, *O.FIT_P))
+
+
+def _rounded(errors: DataFrame) -> DataFrame:
     return errors.withColumn("pmiss", F.round("pmiss", 9))
 
 
@@ -559,7 +566,7 @@ def validate_global(spark, sf):
 
 @query("SELECT GEOID, attr, round(pmiss, 9) AS pmiss FROM area_err")
 def validate_area(spark, sf):
-    return _errors(spark, sf)
+    return _rounded(_errors(spark, sf))
 
 
 def _rounded_summary(errors: DataFrame) -> DataFrame:
@@ -567,12 +574,12 @@ def _rounded_summary(errors: DataFrame) -> DataFrame:
     return out.select("attr", "n_areas", *[F.round(c, 9).alias(c) for c in out.columns[2:]])
 
 
-@query(f"SELECT {_SUMMARY} FROM (SELECT GEOID, attr, round(pmiss, 9) AS pmiss FROM area_err) GROUP BY attr")
+@query(f"SELECT {_SUMMARY} FROM area_err GROUP BY attr")
 def error_summary(spark, sf):
     return _rounded_summary(_errors(spark, sf))
 
 
-@query("SELECT DISTINCT GEOID FROM area_err WHERE round(pmiss, 9) > 0.5")
+@query("SELECT DISTINCT GEOID FROM area_err WHERE pmiss > 0.5")
 def high_error_areas(spark, sf):
     return V.high_error_areas(_errors(spark, sf), 0.5)
 
@@ -597,12 +604,12 @@ def err_global(spark, sf):
 
 
 def _home_errors(spark, sf):
-    return V.area_error(*_home_pair(spark, sf)).withColumn("pmiss", F.round("pmiss", 9))
+    return V.area_error(*_home_pair(spark, sf))
 
 
-@query("SELECT * FROM home_err")
+@query("SELECT GEOID, attr, round(pmiss, 9) AS pmiss FROM home_err")
 def err_area(spark, sf):
-    return _home_errors(spark, sf)
+    return _rounded(_home_errors(spark, sf))
 
 
 @query(f"SELECT {_SUMMARY} FROM home_err GROUP BY attr")
@@ -610,7 +617,7 @@ def err_quantiles(spark, sf):
     return _rounded_summary(_home_errors(spark, sf))
 
 
-@query(f"SELECT {_SUMMARY} FROM home_err WHERE GEOID NOT IN (SELECT GEOID FROM home_err WHERE pmiss > 1.0) GROUP BY attr")
+@query(f"SELECT {_SUMMARY} FROM home_err WHERE GEOID NOT IN (SELECT GEOID FROM home_err WHERE round(pmiss, 9) > 1.0) GROUP BY attr")
 def err_without_high(spark, sf):
     errors = _home_errors(spark, sf)
-    return _rounded_summary(V.without_areas(errors, V.high_error_areas(errors, 1.0)))
+    return _rounded_summary(V.without_areas(errors, V.high_error_areas(_rounded(errors), 1.0)))
