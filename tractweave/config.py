@@ -51,7 +51,7 @@ class FitConfig:
     floor: float = 1e-5
     keep: str = "best"  # or "last"
     max_levels: int = 5_000
-    kernel_cells: int = 4_000_000
+    kernel_cells: int = 8_000_000
     task_cells: int = 2_000_000
     steps_per_stage: int = 6
 

@@ -90,7 +90,6 @@ def synth_population(
 
 
 def write_population(persons: DataFrame, path: str, county_chars: int = 5) -> None:
-    """Parquet partitioned by county prefix."""
-    persons.withColumn("county", F.substring("GEOID", 1, county_chars)).write.mode("overwrite").partitionBy(
-        "county"
-    ).parquet(path)
+    """Parquet partitioned by county prefix, in even files: small counties share a task and large ones are split."""
+    rows = persons.withColumn("county", F.substring("GEOID", 1, county_chars)).hint("rebalance", "county")
+    rows.write.mode("overwrite").partitionBy("county").parquet(path)
