@@ -512,7 +512,6 @@ def population(spark, sf, cfg: SynthConfig = TWO_SWEEPS) -> tuple[Population, Da
     """Synthetic population of every area with group quarters, and the uncorrected targets."""
     pums = _pums(spark, sf)
     hh, persons, hh_t, p_t = _fit_inputs(spark, sf, pums)
-    hh_t, p_t = stage(hh_t, "hh_targets"), stage(p_t, "p_targets")
     result = synth_population(
         T.areas(spark, sf),
         T.crosswalk(spark, sf),
