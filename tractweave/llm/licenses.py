@@ -92,17 +92,19 @@ def scan(docs: DataFrame, templates: Mapping[str, tuple[str, ...]] = TEMPLATES,
     )
 
     text = F.lower(F.coalesce(F.col("text"), F.lit("")))
-    lines = F.transform(F.split(text, "\n"), lambda line, i: F.struct((i + 1).alias("unit"), line.alias("line")))
-    whole = F.when(F.instr(text, "\n") > 0, F.array(F.struct(F.lit(0).alias("unit"), text.alias("line"))))
-    units = F.concat(F.coalesce(whole, F.array().cast("array<struct<unit:int,line:string>>")), lines)
-    # a bigram takes two characters and a blank at least; a unit of fewer characters than its bound allows is too short
-    long_enough = F.filter(units, lambda u: F.length(u["line"]) >= int(2 * low) + 1)
-    worded = F.transform(
-        long_enough,
-        lambda u: F.struct(u["unit"].alias("unit"), F.array_remove(F.split(u["line"], "[^a-z0-9]+"), "").alias("words")),
+    lines = F.transform(
+        F.split(text, "\n"),
+        lambda line, i: F.struct((i + 1).alias("unit"), F.array_remove(F.split(line, "[^a-z0-9]+"), "").alias("words")),
     )
-    # every shared bigram starts with a word of the vocabulary, and a unit has at most as many distinct bigrams as words
-    likely = F.filter(worded, lambda u: F.size(F.array_distinct(F.filter(u["words"], lambda w: w.isin(vocabulary)))) >= _least_words(low, share))
+    whole = F.array(F.struct(F.lit(0).alias("unit"), F.flatten(F.transform("_lines", lambda u: u["words"])).alias("words")))
+    units = F.when(F.size("_lines") > 1, F.concat("_lines", whole)).otherwise(F.col("_lines"))
+
+    def likely_words(words: Column) -> Column:
+        # n distinct words make n - 1 distinct bigrams or more, and shared bigrams consist of words of the vocabulary
+        n = F.size(F.array_distinct(words))
+        return (n <= high + 1) & (F.size(F.filter(words, lambda w: w.isin(vocabulary))) >= share * (n - 1) + 1)
+
+    likely = F.filter(units, lambda u: likely_words(u["words"]))
     paired = F.transform(likely, lambda u: F.struct(u["unit"].alias("unit"), _bigrams(u["words"]).alias("pairs")))
     sized = F.filter(paired, lambda u: (F.size(u["pairs"]) >= low) & (F.size(u["pairs"]) <= high))
 
@@ -127,16 +129,7 @@ def scan(docs: DataFrame, templates: Mapping[str, tuple[str, ...]] = TEMPLATES,
     out = F.transform(
         hits, lambda u: F.struct(u["unit"].alias("unit"), first_best(u["m"])["license"].alias("license"), first_best(u["m"])["dice"].alias("dice"))
     )
-    return docs.withColumn("_known", known).withColumn("licenses", out).drop("_known")
-
-
-def _least_words(low: float, share: float) -> int:
-    """Distinct vocabulary words that any matching unit has: k words make at most k * k different bigrams."""
-    shared = max(1.0, low * share)
-    k = 1
-    while k * k < shared:
-        k += 1
-    return k
+    return docs.withColumn("_known", known).withColumn("_lines", lines).withColumn("licenses", out).drop("_known", "_lines")
 
 
 def license_table(docs: DataFrame) -> DataFrame:

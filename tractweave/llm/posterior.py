@@ -15,27 +15,33 @@ FEATURES = ("f_length", "f_word", "f_distinct", "f_upper", "f_symbol", "f_wide",
 
 
 def with_features(docs: DataFrame) -> DataFrame:
-    """Add ``n_tokens`` (words) and ``FEATURES`` measured on the whole text; NULL and empty texts measure 0 throughout."""
+    """Add ``n_tokens`` and ``FEATURES`` measured on the whole text; NULL and empty texts measure 0 throughout.
+
+    Tokens are what stands between blanks and line feeds. Rare kinds of characters are counted in what is left of the text
+    without its small ASCII letters and common marks, so the text itself is searched once.
+    """
     t = F.coalesce(F.col("text"), F.lit(""))
     chars = F.greatest(F.length(t), F.lit(1))
 
-    def share(pattern: str) -> Column:
-        return F.regexp_count(t, F.lit(pattern)) / chars
+    def share(others: str) -> Column:
+        return F.length(F.regexp_replace("_rest", others, "")) / chars
 
-    words = F.greatest(F.size("_w"), F.lit(1))
+    pieces = F.greatest(F.size("_w"), F.lit(1))
+    empty = t == ""
     return (
-        docs.withColumn("_w", F.array_remove(F.split(t, r"[\x20\x09-\x0D]+"), ""))
-        .withColumn("n_tokens", F.size("_w").cast("long"))
-        .withColumn("f_length", F.log1p(F.size("_w").cast("double")))
-        .withColumn("f_word", F.length(t) / words / 10)
-        .withColumn("f_distinct", F.size(F.array_distinct("_w")) / words)
-        .withColumn("f_upper", share(r"\p{Lu}"))
-        .withColumn("f_symbol", share(r"[#*$%&|<>!]") * 4)
+        docs.withColumn("_w", F.split(t, " "))
+        .withColumn("_rest", F.regexp_replace(t, r"[a-z .,\n]+", ""))
+        .withColumn("n_tokens", F.when(empty, 0).otherwise(F.size("_w") + F.length(t) - F.length(F.replace(t, F.lit("\n"), F.lit("")))).cast("long"))
+        .withColumn("f_length", F.log1p(F.col("n_tokens").cast("double")))
+        .withColumn("f_word", F.length(t) / pieces / 10)
+        .withColumn("f_distinct", F.when(empty, 0.0).otherwise(F.size(F.array_distinct("_w")) / pieces))
+        .withColumn("f_upper", share(r"\P{Lu}+"))
+        .withColumn("f_symbol", share(r"[^#*$%&|<>!]+") * 4)
         .withColumn("f_wide", (F.octet_length(t) - F.length(t)) / chars)
-        .withColumn("f_de", share("[äöüßÄÖÜ]") * 10)
-        .withColumn("f_fr", share("[èêçÈÊÇ]") * 10)
-        .withColumn("f_es", share("[ñóíÑÓÍ]") * 10)
-        .drop("_w")
+        .withColumn("f_de", share("[^äöüßÄÖÜ]+") * 10)
+        .withColumn("f_fr", share("[^èêçÈÊÇ]+") * 10)
+        .withColumn("f_es", share("[^ñóíÑÓÍ]+") * 10)
+        .drop("_w", "_rest")
     )
 
 

@@ -16,14 +16,10 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
 
 
-def _window_hashes(words: Column) -> Column:
-    """Hash of each run of eight words, by doubling: words, pairs, fours, eights."""
-
-    def doubled(h: Column, step: int) -> Column:
-        n = F.size(h) - step
-        return F.zip_with(F.slice(h, 1, n), F.slice(h, step + 1, n), lambda a, b: F.xxhash64(a, b))
-
-    return doubled(doubled(doubled(F.transform(words, lambda w: F.xxhash64(w)), 1), 2), 4)
+def _doubled(hashes: str, step: int) -> Column:
+    """Hash of each run of 2 * ``step`` words from the hashes of the runs of ``step``."""
+    n = F.size(hashes) - step
+    return F.zip_with(F.slice(hashes, 1, n), F.slice(hashes, step + 1, n), lambda a, b: F.xxhash64(a, b))
 
 
 def _covered_words(hashes: Column) -> Column:
@@ -56,12 +52,15 @@ def measured(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     return (
         docs.withColumn("_w", words_of(F.col("text")))
-        .withColumn("_h", F.when(F.size("_w") > WINDOW, _window_hashes(F.col("_w"))))
+        .withColumn("_h", F.when(F.size("_w") > WINDOW, F.transform("_w", lambda w: F.xxhash64(w))))
+        .withColumn("_h", _doubled("_h", 1))
+        .withColumn("_h", _doubled("_h", 2))
+        .withColumn("_h", _doubled("_h", 4))
         .withColumn("_l", F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")))
         .withColumn("n_words", F.size("_w").cast("long"))
         .withColumn("word_chars", F.length(F.array_join("_w", "")).cast("long"))
-        .withColumn("n_symbols", F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long"))
-        .withColumn("n_upper", F.regexp_count(text, F.lit(r"\p{Lu}")).cast("long"))
+        .withColumn("n_symbols", F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("long"))
+        .withColumn("n_upper", F.length(F.regexp_replace(text, r"\P{Lu}+", "")).cast("long"))
         .withColumn("n_lines", F.size("_l").cast("long"))
         .withColumn("n_dup_lines", (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long"))
         .withColumn(
