@@ -11,6 +11,7 @@ from tractweave.llm import (
     licenses,
     line_dedup,
     mixing,
+    ngram_join,
     quality_bayes,
     quality_rules,
     sharding,
@@ -50,6 +51,10 @@ def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rules_table(table(spark, sf_dir, "documents"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicate_components(table(spark, sf_dir, "documents"))
+
+
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_table(table(spark, sf_dir, "documents"))
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_mixing,
         op6_licenses,
         op7_rules,
+        op9_ngram_join,
         op10_lines,
     )
 }
