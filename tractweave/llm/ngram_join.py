@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from tractweave.llm import exchange, packed
 from tractweave.llm.components import connected_components
-from tractweave.operators.scale import stage
+from tractweave.operators.scale import shuffle_width, stage
 
 
 @dataclass(frozen=True)
@@ -246,6 +246,40 @@ def _assemble(packets: pa.Table, bits: int) -> pa.Table:
     return pa.Table.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), types, strict=True)], list(rows))
 
 
+DENSE = 24
+
+
+def _overlaps(run: np.ndarray, owner: np.ndarray, m: int) -> np.ndarray:
+    """Shingles that each two of ``m`` sets share; ``run`` numbers the shingles in order, ``owner`` has their sets.
+
+    Shingles of many sets are columns of a 0/1 matrix that is multiplied with itself, those of few are counted pair by pair.
+    """
+    overlap = np.zeros((m, m), np.float32)
+    if not len(run):
+        return overlap
+    sets = np.bincount(run)
+    dense = sets[run] > DENSE
+    column, row = np.unique(run[dense], return_inverse=True)[1], owner[dense]
+    width = max(64, min(4096, (32 << 20) // (4 * m)))
+    borders = np.searchsorted(column, np.arange(0, int(column[-1]) + 1 + width, width)) if len(column) else [0]
+    for a, b in zip(borders[:-1], borders[1:], strict=True):
+        part = np.zeros((m, width), np.float32)
+        part[row[a:b], column[a:b] % width] = 1
+        overlap += part @ part.T
+    sparse = owner[~dense]
+    size = sets[run[~dense]]
+    start = np.flatnonzero(np.concatenate([[True], run[~dense][1:] != run[~dense][:-1]])) if len(sparse) else np.zeros(0, np.int64)
+    first = np.repeat(start, size[start])
+    flat = overlap.reshape(-1)
+    step = (4 << 20) // DENSE
+    for a in range(0, len(sparse), step):  # every place against all places of its shingle
+        times = size[a : a + step]
+        other = np.repeat(first[a : a + step], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        cell, count = np.unique(np.repeat(sparse[a : a + step], times) * m + sparse[other], return_counts=True)
+        flat[cell] += count
+    return overlap
+
+
 def linked_roots(sizes: np.ndarray, tokens: list[np.ndarray]) -> np.ndarray:
     """For each set of a block the first set it is linked with, over any number of links in the block."""
     m = len(sizes)
@@ -258,13 +292,7 @@ def linked_roots(sizes: np.ndarray, tokens: list[np.ndarray]) -> np.ndarray:
     run = np.cumsum(fresh) - 1
     several = np.bincount(run)[run] > 1 if len(run) else np.zeros(0, bool)
     run, owner = np.unique(run[several], return_inverse=True)[1], owner[several]
-    overlap = np.zeros((m, m), np.float32)
-    width = max(64, min(4096, (32 << 20) // (4 * max(m, 1))))
-    borders = np.searchsorted(run, np.arange(0, int(run[-1]) + 1 + width, width)) if len(run) else [0]
-    for a, b in zip(borders[:-1], borders[1:], strict=True):
-        part = np.zeros((m, width), np.float32)
-        part[owner[a:b], run[a:b] % width] = 1
-        overlap += part @ part.T
+    overlap = _overlaps(run, owner, m)
     links = 5 * overlap >= 4 * (sizes[:, None] + sizes[None, :] - overlap)
     for s in range(m):  # flood from the lowest set that is not reached yet
         if root[s] != s:
@@ -337,6 +365,7 @@ def linked_sets(sets: DataFrame, config: JoinConfig = JoinConfig()) -> DataFrame
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
         .select("coarse", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "k1", "n", "tokens")
+        .repartition(shuffle_width(sets.sparkSession), "coarse", "x", "y")  # else the join leaves all blocks of a group together
     )
     links = stage(paired.groupBy("coarse", "x", "y").applyInArrow(_verify_block, "a long, b long"), "verified-links")
     if blocks.filter("n_blocks > 2").isEmpty():
