@@ -15,6 +15,7 @@ from tractweave.llm import (
     quality_bayes,
     quality_rules,
     sharding,
+    substring_dedup,
     toxicity,
 )
 
@@ -51,6 +52,10 @@ def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rules_table(table(spark, sf_dir, "documents"))
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_table(table(spark, sf_dir, "documents"))
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicate_components(table(spark, sf_dir, "documents"))
 
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_mixing,
         op6_licenses,
         op7_rules,
+        op8_substrings,
         op9_ngram_join,
         op10_lines,
     )
