@@ -66,23 +66,41 @@ class Runs:
     gram: np.ndarray
     whole: np.ndarray
     doc: np.ndarray
+    folds: np.ndarray
+    """Whether the gram stands more than once in the run, so that the run's own windows may repeat."""
     sums: np.ndarray
 
 
+def _gram_repeats(grams: np.ndarray, least: np.ndarray, valid: np.ndarray, first: np.ndarray, last: np.ndarray, reach: int) -> np.ndarray:
+    """For each run whether its gram stands at several places of it."""
+    edge = np.zeros(reach - 1, np.uint64)
+    highest = ~_sliding_min(~np.concatenate([edge, np.where(valid, least, np.uint64(0)), edge]), reach)
+    place = np.flatnonzero(highest[: len(grams)] == grams)  # grams that are the least of some window
+    names, which = np.unique(grams[place], return_inverse=True)
+    order = np.argsort(which, kind="stable")
+    key = which[order] * np.int64(len(grams) + 1) + place[order]
+    base = np.searchsorted(names, least[first]) * np.int64(len(grams) + 1)
+    return np.searchsorted(key, base + last + reach) - np.searchsorted(key, base + first) > 1
+
+
 def runs_of(raw: np.ndarray, offsets: np.ndarray, length: int) -> Runs:
     sums = packed.prefix_hashes(raw)
     none = np.zeros(0, np.int64)
     if len(raw) < length:
-        return Runs(none, none, none.astype(np.uint64), none.astype(np.uint64), none, sums)
+        return Runs(none, none, none.astype(np.uint64), none.astype(np.uint64), none, none.astype(bool), sums)
     half = length // 2
     at = np.arange(len(raw) - half + 1)
-    least = _sliding_min(packed.span_hashes(sums, at, at + half), length - half + 1)
+    grams = packed.span_hashes(sums, at, at + half)
+    reach = length - half + 1
+    least = _sliding_min(grams, reach)
     doc_end = np.repeat(offsets[1:], np.diff(offsets))[: len(least)]
     valid = np.arange(len(least)) + length <= doc_end
     opens = valid & np.concatenate([[True], ~valid[:-1] | (least[1:] != least[:-1]) | (doc_end[1:] != doc_end[:-1])])
     closes = valid & np.concatenate([opens[1:] | ~valid[1:], [True]])
     first, last = np.flatnonzero(opens), np.flatnonzero(closes)
-    return Runs(first, last, least[first], packed.span_hashes(sums, first, last + length), np.searchsorted(offsets, first, "right") - 1, sums)
+    folds = _gram_repeats(grams, least, valid, first, last, reach)
+    doc = np.searchsorted(offsets, first, "right") - 1
+    return Runs(first, last, least[first], packed.span_hashes(sums, first, last + length), doc, folds, sums)
 
 
 def _row(rows: dict, **values) -> None:
@@ -114,11 +132,10 @@ def _distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def _gram_packets(keys: list, raw: np.ndarray, offsets: np.ndarray, number: int, bits: int, length: int) -> pa.RecordBatch:
     runs = runs_of(raw, offsets, length)
     rows = {name: [] for name in _PACKET.names}
-    # a run longer than one gram's reach has the gram several times, so its own windows may repeat: a second pair with
-    # the same fate keeps it from passing for a gram that stands once
-    long = runs.last - runs.first > length - length // 2
+    # windows inside a run that folds may repeat: a second pair with the same fate keeps its gram from passing for single
+    again = runs.folds
     gram, whole, many = _distinct_pairs(
-        np.concatenate([runs.gram, runs.gram[long]]), np.concatenate([runs.whole, runs.whole[long] ^ np.uint64(1)])
+        np.concatenate([runs.gram, runs.gram[again]]), np.concatenate([runs.whole, runs.whole[again] ^ np.uint64(1)])
     )
     _send(rows, number, bits, gram, whole, many)
     _row(
