@@ -39,12 +39,23 @@ _PACKET = pa.schema(
         ("extra", pa.binary()),
         ("many", pa.binary()),
         ("keys", pa.list_(pa.string())),
+    ]
+)
+_PACKET_SQL = "to long, slice long, hashes binary, extra binary, many binary, keys array<string>"
+_SLICE = pa.schema(
+    [
+        ("slice", pa.int64()),
         ("ids", pa.list_(pa.int64())),
         ("texts", pa.list_(pa.binary())),
         ("marks", pa.list_(pa.binary())),
+        ("doc_id", pa.int64()),  # the rest is filled, and the above NULL, for documents that are finished
+        ("n_bytes", pa.int64()),
+        ("n_removed", pa.int64()),
+        ("n_spans", pa.int64()),
+        ("kept_sha256", pa.string()),
     ]
 )
-_PACKET_SQL = "to long, slice long, hashes binary, extra binary, many binary, keys array<string>, ids array<long>, texts array<binary>, marks array<binary>"
+_SLICE_SQL = "slice long, ids array<long>, texts array<binary>, marks array<binary>, " + _DIGEST
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -186,8 +197,6 @@ def _merge_grams(packets: pa.Table) -> pa.Table:
 
 def _merge_windows(packets: pa.Table) -> pa.Table:
     """Windows that stand more than once in all."""
-    if packets["to"][0].as_py() < 0:
-        return packets
     sent = [np.frombuffer(x, np.uint64) for x in packets["hashes"].to_pylist()]
     many = [_bits_of(x, len(s)) for x, s in zip(packets["many"].to_pylist(), sent, strict=True)]
     names, which = np.unique(np.concatenate(sent), return_inverse=True)
@@ -197,16 +206,15 @@ def _merge_windows(packets: pa.Table) -> pa.Table:
 
 def _split(packets: pa.Table) -> tuple[dict, np.ndarray, np.ndarray]:
     """A slice's own row, and the replies to it in the order of their hashes."""
-    own, hashes, marks = None, [np.zeros(0, np.uint64)], [np.zeros(0, np.uint8)]
-    for row in packets.to_pylist():
-        if row["to"] < 0:
-            own = row
-        else:
-            hashes.append(np.frombuffer(row["hashes"], np.uint64))
-            marks.append(np.frombuffer(row["extra"], np.uint8))
-    hashed, mark = np.concatenate(hashes), np.concatenate(marks)
+    own = packets.filter(pa.compute.less(packets["to"], 0)).to_pylist()[0]
+    return own, *_sorted_replies(packets.filter(pa.compute.greater_equal(packets["to"], 0)))
+
+
+def _sorted_replies(replies: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    hashed = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(x, np.uint64) for x in replies["hashes"].to_pylist()]])
+    mark = np.concatenate([np.zeros(0, np.uint8), *[np.frombuffer(x, np.uint8) for x in replies["extra"].to_pylist()]])
     order = np.argsort(hashed)
-    return own, hashed[order], mark[order]
+    return hashed[order], mark[order]
 
 
 def _looked_up(values: np.ndarray, hashes: np.ndarray, marks: np.ndarray) -> np.ndarray:
@@ -261,30 +269,39 @@ def _windows_of(runs: Runs, mark: np.ndarray, length: int) -> tuple[np.ndarray,
     return starts, packed.span_hashes(runs.sums, starts, starts + length)
 
 
-def _window_packets(ids: list, texts: list, marks: list, number: int, bits: int, length: int) -> pa.RecordBatch:
+def _settled_digest(doc_id, text: bytes, marks: bytes | None, length: int) -> tuple | None:
+    """Digest of a document that needs no comparison of windows, else None."""
+    if marks is None:
+        return _digest(doc_id, text, np.zeros(len(text), np.int8))
+    if (np.frombuffer(marks, np.uint64)[1::2] == 2).any():
+        return None
+    runs, mark = _marked_runs(text, marks, length)
+    whole = mark == 1
+    return _digest(doc_id, text, _cover(len(text), runs.first[whole], runs.last[whole] + length))
+
+
+def _window_packets(texts: list, marks: list, number: int, bits: int, length: int) -> pa.RecordBatch:
     rows = {name: [] for name in _PACKET.names}
-    hashes = [_windows_of(*_marked_runs(t, m, length), length)[1] if m else np.zeros(0, np.uint64) for t, m in zip(texts, marks, strict=True)]
-    every = np.sort(np.concatenate(hashes)) if hashes else np.zeros(0, np.uint64)
+    every = np.sort(np.concatenate([_windows_of(*_marked_runs(t, m, length), length)[1] for t, m in zip(texts, marks, strict=True)]))
     fresh = np.concatenate([[True], every[1:] != every[:-1]]) if len(every) else np.zeros(0, bool)
     _send(rows, number, bits, every[fresh], None, np.diff(np.append(np.flatnonzero(fresh), len(every))) > 1)
-    _row(rows, to=-1 - number, slice=number, ids=ids, texts=texts, marks=marks)
     return pa.RecordBatch.from_pydict(rows, _PACKET)
 
 
-def _finish(packets: pa.Table, length: int) -> pa.Table:
-    own, hashes, marks = _split(packets)
+def _finish(slices: pa.Table, replies: pa.Table, length: int) -> pa.Table:
+    hashes, marks = _sorted_replies(replies)
     out = []
-    for doc_id, text, mine in zip(own["ids"], own["texts"], own["marks"], strict=True):
-        starts = ends = np.zeros(0, np.int64)
-        if mine:
+    for own in slices.to_pylist():
+        for doc_id, text, mine in zip(own["ids"], own["texts"], own["marks"], strict=True):
             runs, mark = _marked_runs(text, mine, length)
             window, hashed = _windows_of(runs, mark, length)
             again = window[_looked_up(hashed, hashes, marks) > 0]
             whole = mark == 1
             starts = np.concatenate([runs.first[whole], again])
             ends = np.concatenate([runs.last[whole] + length, again + length])
-        out.append(_digest(doc_id, text, _cover(len(text), starts, ends)))
-    return pa.table(dict(zip(["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"], zip(*out, strict=True), strict=True)), _DIGEST_ARROW)
+            out.append(_digest(doc_id, text, _cover(len(text), starts, ends)))
+    columns = [list(c) for c in zip(*out, strict=True)] if out else [[]] * len(_DIGEST_ARROW)
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, _DIGEST_ARROW.types, strict=True)], schema=_DIGEST_ARROW)
 
 
 _DIGEST_ARROW = pa.schema(
@@ -317,38 +334,48 @@ def substring_table(docs: DataFrame, config: SubstringConfig = SubstringConfig()
                 yield _gram_packets(keys[i:j], raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], number, bits, length)
                 number += 1
 
-    def second_pass(batches):
+    def sliced(batches):
         number = TaskContext.get().partitionId() << 32
-        ids, texts, marks, size = [], [], [], 0
+        waiting, size = ([], [], []), 0
+
+        def flush(rows):
+            nonlocal waiting, size, number
+            _row(rows, slice=number, ids=waiting[0], texts=waiting[1], marks=waiting[2])
+            waiting, size, number = ([], [], []), 0, number + 1
+
         for batch in batches:
-            for doc_id, text, mark in zip(batch.column("doc_id"), batch.column("text"), batch.column("marks"), strict=True):
-                text = (text.as_py() or "").encode()
-                ids.append(doc_id.as_py())
-                texts.append(text)
-                marks.append(mark.as_py())
+            rows = {name: [] for name in _SLICE.names}
+            for doc_id, text, marks in zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("marks"), strict=True):
+                text, marks = (text.as_py() or "").encode(), marks.as_py()
+                done = _settled_digest(doc_id, text, marks, length)
+                if done:
+                    _row(rows, **dict(zip(_DIGEST_ARROW.names, done, strict=True)))
+                    continue
+                for values, value in zip(waiting, (doc_id, text, marks), strict=True):
+                    values.append(value)
                 size += len(text)
                 if size >= config.slice_bytes:
-                    yield _window_packets(ids, texts, marks, number, bits, length)
-                    ids, texts, marks, size = [], [], [], 0
-                    number += 1
-        if ids:
-            yield _window_packets(ids, texts, marks, number, bits, length)
+                    flush(rows)
+            yield pa.RecordBatch.from_pydict(rows, _SLICE)
+        if waiting[0]:
+            rows = {name: [] for name in _SLICE.names}
+            flush(rows)
+            yield pa.RecordBatch.from_pydict(rows, _SLICE)
 
-    def untouched(batches):
+    def second_pass(batches):
         for batch in batches:
-            texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
-            out = [_digest(d, t, np.zeros(len(t), np.int8)) for d, t in zip(batch.column("doc_id").to_pylist(), texts, strict=True)]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _DIGEST_ARROW.types, strict=True)], _DIGEST_ARROW.names)
+            for number, texts, marks in zip(batch.column("slice"), batch.column("texts"), batch.column("marks"), strict=True):
+                yield _window_packets(texts.as_py(), marks.as_py(), number.as_py(), bits, length)
 
     grams = rows.select("_k", "text").mapInArrow(first_pass, _PACKET_SQL)
     replies = stage(grams.groupBy("to").applyInArrow(_merge_grams, _PACKET_SQL), "gram-replies")
     marked = replies.groupBy("slice").applyInArrow(_mark_documents, "_k string, marks binary")
-    marked = stage(marked.groupBy("_k").agg(F.first("marks").alias("marks")), "gram-marks")
-    # the merge join leaves rows in the order of their keys, so that a repeated task cuts the same slices
-    joined = rows.join(marked.hint("merge"), "_k", "left")
-    joined = stage(joined.withColumn("text", F.coalesce("text", F.lit(""))).drop("_k"), "marked-texts")
-    windows = joined.filter("marks IS NOT NULL").mapInArrow(second_pass, _PACKET_SQL)
-    found = stage(windows.groupBy("to").applyInArrow(_merge_windows, _PACKET_SQL), "window-replies")
-    cut = found.groupBy("slice").applyInArrow(lambda t: _finish(t, length), _DIGEST)
-    return cut.unionByName(joined.filter("marks IS NULL").drop("marks").mapInArrow(untouched, _DIGEST))
+    marked = marked.groupBy("_k").agg(F.first("marks").alias("marks"))
+    # slices are cut once and stored, so that a task that is repeated later finds the same ones
+    joined = rows.join(marked.hint("shuffle_hash"), "_k", "left").drop("_k")
+    stored = stage(joined.mapInArrow(sliced, _SLICE_SQL), "marked-slices")
+    slices = stored.filter("slice IS NOT NULL").select("slice", "ids", "texts", "marks")
+    windows = slices.mapInArrow(second_pass, _PACKET_SQL)
+    found = stage(windows.groupBy("to").applyInArrow(_merge_windows, _PACKET_SQL).select("slice", "hashes", "extra"), "window-replies")
+    cut = slices.groupBy("slice").cogroup(found.groupBy("slice")).applyInArrow(lambda a, b: _finish(a, b, length), _DIGEST)
+    return cut.unionByName(stored.filter("slice IS NULL").select(*_DIGEST_ARROW.names))
