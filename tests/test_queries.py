@@ -34,7 +34,7 @@ def test_query_equals_sql(spark, sf, con, name):
 
 
 def test_every_query_but_the_iterative_one_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"ipu_converged"}
+    assert set(registry.QUERIES) - set(registry.ORACLES) == {"ipu_converged"}
 
 
 def test_population_invariants(spark, sf, tmp_path):
