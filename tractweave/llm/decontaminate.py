@@ -29,7 +29,7 @@ ADDED = T.StructType(
 @dataclass(frozen=True)
 class DecontaminationConfig:
     window: int = 10
-    shard_bytes: int = 8 << 20
+    shard_bytes: int = 2 << 20
     """Text in one FM-index; a longer document has an index of its own."""
     block_bytes: int = 16 << 20
     """Benchmark text that is sent to the tasks at once. A larger benchmark is searched in blocks of about this size."""

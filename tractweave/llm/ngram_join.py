@@ -33,7 +33,7 @@ class JoinConfig:
     shingle: int = 5
     frequent: int = 64
     """A shingle that more sets have is of the frequent class. The result does not depend on it."""
-    slice_bytes: int = 6 << 20
+    slice_bytes: int = 2 << 20
     block_sets: int = 2048
     block_bytes: int = 16 << 20
     """Sets, and bytes of their shingles, that are verified in one block. Larger groups are cut into blocks, and each pair of

@@ -39,6 +39,9 @@ INSULTS = (
 SECOND_PERSON = "you your yours yourself youre u ur du dich dir dein deine sie ihr tu te toi vous ton ta tes usted ustedes tú ti".split()
 STAND_INS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 
+SLICE_BYTES = 1 << 20
+"""Text that is measured at once; a task's arrays take some 100 bytes for each of them."""
+
 NEAR = 5
 STEMS = (5, 8)
 """Letters of the stems of a word; words of fewer are their own stem."""
@@ -119,7 +122,7 @@ class TextSlice:
 
 def document_stems(raw: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
     """Distinct stems of each document."""
-    for i, j in packed.slices(offsets, 4 << 20):
+    for i, j in packed.slices(offsets, SLICE_BYTES):
         part = TextSlice(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
         stems = np.column_stack([part.stems(n) for n in STEMS])
         borders = np.searchsorted(part.doc, np.arange(j - i + 1))
@@ -129,7 +132,7 @@ def document_stems(raw: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]
 
 def measure(raw: np.ndarray, offsets: np.ndarray, lexicon: Lexicon) -> np.ndarray:
     """Features of each document over its whole text, as document x feature."""
-    return np.concatenate([_measure_slice(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], lexicon) for i, j in packed.slices(offsets, 4 << 20)] or [np.zeros((0, len(FEATURES)))])
+    return np.concatenate([_measure_slice(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], lexicon) for i, j in packed.slices(offsets, SLICE_BYTES)] or [np.zeros((0, len(FEATURES)))])
 
 
 def _measure_slice(raw: np.ndarray, offsets: np.ndarray, lexicon: Lexicon) -> np.ndarray:
@@ -341,10 +344,10 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, config: ToxicityConfig =
 
     def stems_of(batches):
         for batch in batches:
-            found = list(document_stems(*packed.buffers(batch.column("text"))))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"), pa.array([s.tobytes() for s in found], pa.binary())], ["doc_id", "toxic", "stems"]
-            )
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                found = [s.tobytes() for s in document_stems(*packed.buffers(part.column("text")))]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), pa.array(found, pa.binary())], ["doc_id", "toxic", "stems"])
 
     rows = sample.mapInArrow(stems_of, T.StructType([sample.schema["doc_id"], sample.schema["toxic"], T.StructField("stems", T.BinaryType())])).toArrow().sort_by("doc_id")
     if not rows.num_rows:
