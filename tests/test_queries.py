@@ -14,7 +14,8 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 from check_oracles import rows_of  # noqa: E402
 
 LIGHT = ["fixed_width", "gq_totals", "hh_targets", "person_targets", "gq_targets", "residual_level", "hh_seed", "person_seed",
-         "recode_person", "label_parse", "lookup_occupation", "shared_tables", "ipu_k2", "err_quantiles"]
+         "recode_person", "label_parse", "lookup_occupation", "shared_tables", "ipu_k2", "err_quantiles",
+         "area_pools", "pumas_of", "area_seed", "lookup_crosswalk"]
 
 
 @pytest.fixture(scope="module")

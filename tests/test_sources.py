@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tractweave.operators.areas import area_pools, area_pumas
 from tractweave.operators.gq import gq_totals, keep_level
 from tractweave.sources import characteristics as C
 from tractweave.sources import files, lookups
@@ -47,7 +48,7 @@ def test_microdata_and_totals_readers_prune(spark, tmp_path):
     pums.write.partitionBy("state", "year", "survey").parquet(str(tmp_path / "pums"))
     df = files.read_pums(spark, str(tmp_path / "pums"), ["Sex", "Age"], ["CA"], 2019, "acs5")
     assert df.columns == ["SERIALNO", "SPORDER", "PUMA", "SEX", "AGEP"]
-    assert [tuple(r) for r in df.collect()] == [("1", 1, "00101", "1", 30)]
+    assert [tuple(r) for r in df.collect()] == [("1", 1, "0600101", "1", 30)]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "HINCP" not in plan and "PartitionFilters: [isnotnull(state" in plan
 
@@ -66,7 +67,7 @@ def test_csv_sources_and_lookup_store(spark, tmp_path):
     (tmp_path / "xw.csv").write_text("STATEFP,COUNTYFP,TRACTCE,PUMA5CE\n06,075,010100,07501\n")
     xw = lookups.crosswalk_lookup(files.read_crosswalk(spark, str(tmp_path / "xw.csv")))
     assert [(r.STCNTYFP, r.CTFP) for r in xw.collect()] == [("06075", "06075010100")]
-    assert [r.PUMA for r in lookups.pumas_of(xw, "06075").collect()] == ["07501"]
+    assert [r.PUMA for r in lookups.pumas_of(xw, "06075").collect()] == ["0607501"]
     (tmp_path / "codes.csv").write_text('Code,SOC,Text\n0010,11-1011,"Chief executives, and legislators"\n,11,Heading\n0020,11-1021,Managers\n')
     (tmp_path / "vars.csv").write_text(
         "name,label,concept\n"
@@ -83,6 +84,44 @@ def test_csv_sources_and_lookup_store(spark, tmp_path):
     assert files.load_lookup(spark, str(tmp_path / "occ")).count() == 2
 
 
+def test_microdata_csv_goes_by_name(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("PUMA,SERIALNO,SPORDER,AGEP,ST,SEX,EXTRA\n00101,33,1,2,36,1,x\n00101,34,1,5,6,2,y\n")
+    got = files.read_pums(spark, str(tmp_path / "p.csv"), ["Sex", "Age"], fmt="csv")
+    assert sorted(tuple(r) for r in got.collect()) == [("33", 1, "3600101", "1", 2), ("34", 1, "0600101", "2", 5)]
+    (tmp_path / "q.csv").write_text("PUMA,SERIALNO,SPORDER,AGEP,SEX\n101,33,1,2,1\n")
+    got = files.read_pums(spark, str(tmp_path / "q.csv"), ["Sex", "Age"], fmt="csv", state="ca")
+    assert [tuple(r) for r in got.collect()] == [("33", 1, "0600101", "1", 2)]
+    for bad in ({}, {"state": "CA", "states": ["CA"]}, {"state": "CA", "year": 2019}):
+        with pytest.raises(ValueError, match="has no column"):
+            files.read_pums(spark, str(tmp_path / "q.csv"), ["Sex", "Age"], fmt="csv", **bad)
+    with pytest.raises(ValueError, match="has no column NP"):
+        files.read_pums(spark, str(tmp_path / "q.csv"), ["HH_Size"], fmt="csv", state="CA")
+
+
+def test_state_from_file_names(spark, tmp_path):
+    for name in ("cageo2010.sf1", "part-00000.txt", "2010_geo_ca.txt", "zz1.txt"):
+        (tmp_path / name).write_text("x\n")
+    assert sorted(r.state or "" for r in files.read_lines(spark, str(tmp_path)).collect()) == ["", "", "", "CA"]
+    assert {r.state for r in files.read_lines(spark, str(tmp_path), "ny").collect()} == {"NY"}
+
+
+def test_pools_of_two_states_with_one_puma_code(spark):
+    rows = [("06", "075", "010100", "00101"), ("36", "001", "000100", "00101")]
+    xw = lookups.crosswalk_lookup(spark.createDataFrame(rows, "STATEFP string, COUNTYFP string, TRACTCE string, PUMA5CE string"))
+    pumas = area_pumas(xw.selectExpr("CTFP AS GEOID"), xw)
+    pools = {r.GEOID: r.pool for r in area_pools(pumas)[0].collect()}
+    assert pools == {"06075010100": "P0600101", "36001000100": "P3600101"}
+
+
+def test_grades_of_two_editions(spark):
+    rows = [(f"B14007_{i:03d}", str(i), "c", e) for i in range(1, 5) for e in (2018, 2019)]
+    both = spark.createDataFrame(rows, "name string, label string, concept string, edition int")
+    got = {(r.name, r.edition): r.grade for r in lookups.grade_lookup(both, ["edition"]).collect()}
+    assert got == {(f"B14007_{i:03d}", e): f"{i - 2:02d}" for i in (3, 4) for e in (2018, 2019)}
+    with pytest.raises(Exception, match="stands twice"):
+        lookups.grade_lookup(both).collect()
+
+
 def test_lookup_builders(spark):
     def dictionary(*rows):
         return spark.createDataFrame([(n, x, "c") for n, x in rows], "name string, label string, concept string")

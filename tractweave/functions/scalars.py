@@ -168,6 +168,11 @@ def rel_diff(obs: Column, gen: Column) -> Column:
     return F.try_divide(F.abs(obs - gen), obs)
 
 
+def puma_key(state: Column, puma: Column) -> Column:
+    """State number and PUMA code in one, as PUMA codes repeat from state to state."""
+    return F.concat(F.lpad(state.cast("string"), 2, "0"), F.lpad(puma.cast("string"), 5, "0"))
+
+
 def in_region(geoid: Column, fips) -> Column:
     """True for area codes that start with one of the given prefixes; ``None`` keeps every area."""
     if fips is None:

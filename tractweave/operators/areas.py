@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from tractweave.functions import scalars as S
 from tractweave.operators.scale import stage
+from tractweave.sources.lookups import puma_code
 
 
 def areas_with_population(acs: DataFrame, fips=None, variable: str = "B01001_001") -> DataFrame:
@@ -21,9 +22,10 @@ def areas_with_population(acs: DataFrame, fips=None, variable: str = "B01001_001
 
 
 def area_pumas(areas: DataFrame, crosswalk: DataFrame, n_chars: int | None = None) -> DataFrame:
-    """PUMAs of each area. ``n_chars`` is the length of the area codes when they are shorter than a tract's."""
+    """PUMAs of each area, each with its state (``puma_code``). ``n_chars`` is the length of the area codes when they are
+    shorter than a tract's."""
     code = F.col("CTFP") if n_chars is None else F.substring("CTFP", 1, n_chars)
-    relation = crosswalk.select(code.alias("GEOID"), F.col("PUMA5CE").alias("PUMA")).distinct()
+    relation = crosswalk.select(code.alias("GEOID"), puma_code(crosswalk).alias("PUMA")).distinct()
     return areas.select("GEOID").join(relation, "GEOID")
 
 

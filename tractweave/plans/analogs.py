@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tractweave.config import DrawConfig
 from tractweave.functions.local import small_table
@@ -119,6 +120,19 @@ def crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tract_pumas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The crosswalk with PUMAs named as in ``pums``: nation numbers do not repeat from region to region."""
+    return crosswalk(spark, sf_dir).withColumn("PUMA", F.col("PUMA5CE"))
+
+
+def pumas_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State (region) and PUMA code of each county (nation) when every state numbers its PUMAs from 1."""
+    place = F.row_number().over(Window.partitionBy("n_regionkey").orderBy("n_nationkey"))
+    return table(spark, sf_dir, "nation").select(
+        pad(F.col("n_nationkey"), 3).alias("COUNTYFP"), pad(F.col("n_regionkey"), 2).alias("ST"), pad(place, 5).alias("place")
+    )
+
+
 def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crosswalk(spark, sf_dir).select(F.col("CTFP").alias("GEOID"))
 

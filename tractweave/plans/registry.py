@@ -163,7 +163,31 @@ def areas_with_population(spark, sf):
 
 @query("SELECT DISTINCT PUMA5CE AS PUMA FROM xw")
 def pumas_of(spark, sf):
-    return lookups.pumas_of(T.crosswalk(spark, sf))
+    return lookups.pumas_of(T.tract_pumas(spark, sf))
+
+
+REGION_PUMA = """lpad(cast(n_regionkey AS varchar), 2, '0') ||
+lpad(cast(row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS varchar), 5, '0')"""
+
+
+@query(
+    f"""SELECT CTFP AS GEOID, 'P' || PUMA AS pool, PUMA, households FROM xw
+JOIN (SELECT n_nationkey AS nation, {REGION_PUMA} AS PUMA FROM nation) n ON nation = cast(PUMA5CE AS int)
+JOIN (SELECT c_nationkey AS nation, count(*) AS households FROM customer GROUP BY c_nationkey) c USING (nation)"""
+)
+def area_pools(spark, sf):
+    """Pools where every region (state) numbers its PUMAs from 1, so the bare codes repeat."""
+    pumas = T.pumas_by_region(spark, sf)
+    xw = T.crosswalk(spark, sf).join(pumas, "COUNTYFP").withColumn("PUMA5CE", F.col("place"))
+    area_pool, pool_pumas = A.area_pools(A.area_pumas(T.areas(spark, sf), xw))
+    households = (
+        T.table(spark, sf, "customer")
+        .select(T.pad(F.col("c_nationkey"), 3).alias("COUNTYFP"))
+        .join(pumas, "COUNTYFP")
+        .groupBy(S.puma_key(F.col("ST"), F.col("place")).alias("PUMA"))
+        .agg(F.count("*").alias("households"))
+    )
+    return area_pool.join(pool_pumas, "pool").join(households, "PUMA").select("GEOID", "pool", "PUMA", "households")
 
 
 # --- scalars ---------------------------------------------------------------------------------------------------------
@@ -366,7 +390,7 @@ JOIN (SELECT SERIALNO, count(*) AS np FROM p_seed GROUP BY SERIALNO) USING (SERI
 )
 def area_seed(spark, sf):
     hh, persons = _seeds(spark, sf)
-    return A.area_seed_sizes(A.area_pumas(T.areas(spark, sf), T.crosswalk(spark, sf)), hh, persons)
+    return A.area_seed_sizes(A.area_pumas(T.areas(spark, sf), T.tract_pumas(spark, sf)), hh, persons)
 
 
 # --- weights and draws -----------------------------------------------------------------------------------------------
@@ -393,7 +417,7 @@ def _fitted(fit: W.Fit) -> DataFrame:
 def rake_k2(spark, sf):
     totals = stage(targets.gq_targets(_gq_totals(spark, sf)), "gq_targets")
     populated = totals.groupBy("GEOID").agg(F.sum("target").alias("t")).filter("t > 0")
-    pools = A.area_pools(A.area_pumas(populated, T.crosswalk(spark, sf)))
+    pools = A.area_pools(A.area_pumas(populated, T.tract_pumas(spark, sf)))
     seed = stage(seeds.gq_seed(T.pums(spark, sf)), "gq_seed").withColumn("SERIALNO", F.concat_ws("-", "SERIALNO", "SPORDER"))
     return _fitted(W.fit_weights(*pools, seed, GQ_ATTRS, totals, cfg=TWO_SWEEPS.fit))
 
@@ -411,7 +435,7 @@ def _fit_inputs(spark, sf, pums=None):
 
 def _fit(spark, sf, cfg: FitConfig) -> W.Fit:
     hh, persons, hh_t, p_t = _fit_inputs(spark, sf)
-    pools = A.area_pools(A.area_pumas(T.areas(spark, sf), T.crosswalk(spark, sf)))
+    pools = A.area_pools(A.area_pumas(T.areas(spark, sf), T.tract_pumas(spark, sf)))
     wanted = stage(hh_t.unionByName(p_t), "targets")
     return W.fit_weights(*pools, hh, O.FIT_HH, wanted, persons, O.FIT_P, cfg)
 
@@ -468,7 +492,7 @@ def _gq_pop(spark, sf, pums=None) -> DataFrame:
     seed = seeds.gq_seed(pums).withColumn("pid", F.concat_ws("-", "SERIALNO", "SPORDER"))
     return synth_gq(
         T.areas(spark, sf),
-        T.crosswalk(spark, sf),
+        T.tract_pumas(spark, sf),
         seed,
         targets.gq_targets(_gq_totals(spark, sf)),
         TWO_SWEEPS,
@@ -514,7 +538,7 @@ def population(spark, sf, cfg: SynthConfig = TWO_SWEEPS) -> tuple[Population, Da
     hh, persons, hh_t, p_t = _fit_inputs(spark, sf, pums)
     result = synth_population(
         T.areas(spark, sf),
-        T.crosswalk(spark, sf),
+        T.tract_pumas(spark, sf),
         hh,
         persons,
         hh_t,

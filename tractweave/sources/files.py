@@ -1,4 +1,4 @@
-"""Readers and writers. Schemas are given, never inferred; codes stay text."""
+"""Readers and writers. Columns are found by name and have given types; codes stay text."""
 
 from __future__ import annotations
 
@@ -31,17 +31,30 @@ CROSSWALK_SCHEMA = "STATEFP string, COUNTYFP string, TRACTCE string, PUMA5CE str
 CODELIST_SCHEMA = "Code string, Code2 string, Description string"
 DICTIONARY_SCHEMA = "name string, label string, concept string"
 
+# States by their two letters, with their numbers.
+STATE_FIPS = {
+    "AL": "01", "AK": "02", "AZ": "04", "AR": "05", "CA": "06", "CO": "08", "CT": "09", "DE": "10", "DC": "11", "FL": "12",
+    "GA": "13", "HI": "15", "ID": "16", "IL": "17", "IN": "18", "IA": "19", "KS": "20", "KY": "21", "LA": "22", "ME": "23",
+    "MD": "24", "MA": "25", "MI": "26", "MN": "27", "MS": "28", "MO": "29", "MT": "30", "NE": "31", "NV": "32", "NH": "33",
+    "NJ": "34", "NM": "35", "NY": "36", "NC": "37", "ND": "38", "OH": "39", "OK": "40", "OR": "41", "PA": "42", "RI": "44",
+    "SC": "45", "SD": "46", "TN": "47", "TX": "48", "UT": "49", "VT": "50", "VA": "51", "WA": "53", "WV": "54", "WI": "55",
+    "WY": "56", "PR": "72",
+}
+
 
 def _state_of(path: Column) -> Column:
-    """Two-letter state that starts the file name, upper case; NULL when there is none."""
-    return F.upper(F.nullif(F.regexp_extract(path, r"([A-Za-z]{2})[^/]*$", 1), F.lit("")))
+    """State of a file named by its two letters and then a digit or ``geo``, upper case; NULL for all other names."""
+    code = F.upper(F.regexp_extract(path, r"(?i)/([a-z]{2})(?:geo|[0-9])[^/]*$", 1))
+    return F.when(code.isin(list(STATE_FIPS)), code)
 
 
-def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Text lines, one or many state files, with the state taken from the file name. No quote or comment rules."""
-    return spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
-        "value", _state_of(F.col("_metadata.file_path")).alias("state")
-    )
+def _state(state: str | None) -> Column:
+    return F.lit(state.upper()) if state is not None else _state_of(F.col("_metadata.file_path"))
+
+
+def read_lines(spark: SparkSession, paths: str | Sequence[str], state: str | None = None) -> DataFrame:
+    """Text lines, one or many state files. Without ``state`` it is taken from each file's name. No quote or comment rules."""
+    return spark.read.text(paths if isinstance(paths, str) else list(paths)).select("value", _state(state).alias("state"))
 
 
 def fixed_width(lines: DataFrame, fields: Mapping[str, tuple[int, int]]) -> DataFrame:
@@ -58,11 +71,11 @@ def parse_geo(lines: DataFrame) -> DataFrame:
     )
 
 
-def read_geo(spark: SparkSession, paths) -> DataFrame:
-    return parse_geo(read_lines(spark, paths))
+def read_geo(spark: SparkSession, paths, state: str | None = None) -> DataFrame:
+    return parse_geo(read_lines(spark, paths, state))
 
 
-def read_segment(spark: SparkSession, paths) -> DataFrame:
+def read_segment(spark: SparkSession, paths, state: str | None = None) -> DataFrame:
     """Record number and the 63 cells of a headerless segment file, picked by position."""
     last = SEGMENT_FIRST + SEGMENT_CELLS - 1
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(last)])
@@ -72,15 +85,41 @@ def read_segment(spark: SparkSession, paths) -> DataFrame:
     ]
     raw = spark.read.csv(paths if isinstance(paths, str) else list(paths), schema=schema)
     return raw.select(
-        _state_of(F.col("_metadata.file_path")).alias("state"),
+        _state(state).alias("state"),
         F.trim(F.col(f"_c{SEGMENT_RECORD - 1}")).try_cast("long").alias("LOGRECNO"),
         *cells,
     )
 
 
-def _table(spark: SparkSession, path: str, schema: str, fmt: str) -> DataFrame:
-    reader = spark.read.schema(schema)
-    return reader.csv(path, header=True) if fmt == "csv" else reader.parquet(path)
+def _table(spark: SparkSession, path: str, schema: str, fmt: str, names: Sequence[str]) -> DataFrame:
+    """Columns ``names``, found by name and cast to the schema's types; one that the data lack is an error.
+
+    All files of a CSV data set must have the same header.
+    """
+    df = spark.read.csv(path, header=True, enforceSchema=False) if fmt == "csv" else spark.read.parquet(path)
+    have = {c.upper(): c for c in df.columns}
+    missing = [n for n in names if n.upper() not in have]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    types = {f.name: f.dataType for f in T.StructType.fromDDL(schema)}
+    # a column of the right type stays as it is, so that filters still prune partitions
+    return df.select(
+        *[
+            (c if df.schema[have[n.upper()]].dataType == types[n] else c.try_cast(types[n])).alias(n)
+            for n in names
+            for c in [F.col(have[n.upper()])]
+        ]
+    )
+
+
+def _columns_of(spark: SparkSession, path: str, fmt: str) -> set[str]:
+    df = spark.read.csv(path, header=True) if fmt == "csv" else spark.read.parquet(path)
+    return {c.upper() for c in df.columns}
+
+
+def _asked(states, year, survey) -> list[str]:
+    """Partition columns that a filter needs."""
+    return [n for n, v in (("state", states), ("year", year), ("survey", survey)) if v is not None]
 
 
 def read_pums(
@@ -91,14 +130,28 @@ def read_pums(
     year: int | None = None,
     survey: str | None = None,
     fmt: str = "parquet",
+    state: str | None = None,
 ) -> DataFrame:
-    """Microdata columns of the requested characteristics.
+    """Microdata columns of the requested characteristics; ``PUMA`` holds state and PUMA (``puma_key``).
 
-    ``state``, ``year`` and ``survey`` are columns of the data set, normally its partition directories.
+    ``state``, ``year`` and ``survey`` are columns of the data set, normally its partition directories; a filter on a column
+    that is not there is an error. The state of a row is its ``ST`` or ``state`` column, or the argument ``state`` (two
+    letters) for data of one state. Rows of an unknown state have no PUMA.
     """
-    schema = f"{PUMS_SCHEMA}, state string, year int, survey string"
-    rows = _partitions(_table(spark, path, schema, fmt), states, year, survey)
-    return select_pums(rows, chars)
+    schema = f"{PUMS_SCHEMA}, ST string, state string, year int, survey string"
+    names = ["SERIALNO", "SPORDER", *pums_columns(chars), *_asked(states, year, survey)]
+    if state is None:
+        have = _columns_of(spark, path, fmt)
+        names += [next((n for n in ("ST", "state") if n.upper() in have), "state")]
+    rows = _partitions(_table(spark, path, schema, fmt, list(dict.fromkeys(names))), states, year, survey)
+    if state is not None:
+        number = F.lit(STATE_FIPS[state.upper()])
+    elif names[-1] == "ST":
+        number = F.col("ST")
+    else:
+        known = F.create_map(*[F.lit(x) for pair in STATE_FIPS.items() for x in pair])
+        number = F.coalesce(F.try_element_at(known, F.upper("state")), F.when(F.col("state").rlike("^[0-9]{1,2}$"), F.col("state")))
+    return select_pums(rows.withColumn("PUMA", S.puma_key(number, F.col("PUMA"))), chars)
 
 
 def select_pums(pums: DataFrame, chars: Sequence[str]) -> DataFrame:
@@ -117,7 +170,8 @@ def read_acs(
 ) -> DataFrame:
     """Area totals of the distinct tables behind the characteristics, at one level of geography."""
     schema = f"{ACS_SCHEMA}, table_id string, level string, state string, year int, survey string"
-    rows = _partitions(_table(spark, path, schema, fmt), states, year, survey)
+    names = ["table_id", "level", "GEOID", "variable", "estimate", *_asked(states, year, survey)]
+    rows = _partitions(_table(spark, path, schema, fmt, names), states, year, survey)
     return select_acs(rows.filter(F.lower("level") == level.lower()), chars)
 
 
@@ -134,16 +188,16 @@ def _partitions(df: DataFrame, states, year, survey) -> DataFrame:
 
 
 def read_crosswalk(spark: SparkSession, path: str) -> DataFrame:
-    return _table(spark, path, CROSSWALK_SCHEMA, "csv")
+    return _table(spark, path, CROSSWALK_SCHEMA, "csv", ["STATEFP", "COUNTYFP", "TRACTCE", "PUMA5CE"])
 
 
 def read_codelist(spark: SparkSession, path: str) -> DataFrame:
     """Occupation code list exported as CSV; its three columns are taken by position."""
-    return _table(spark, path, CODELIST_SCHEMA, "csv")
+    return spark.read.schema(CODELIST_SCHEMA).csv(path, header=True)
 
 
 def read_dictionary(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    return _table(spark, path, DICTIONARY_SCHEMA, fmt)
+    return _table(spark, path, DICTIONARY_SCHEMA, fmt, ["name", "label", "concept"])
 
 
 def save_lookup(df: DataFrame, path: str) -> None:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -26,9 +26,17 @@ def crosswalk_lookup(crosswalk: DataFrame) -> DataFrame:
     )
 
 
+def puma_code(crosswalk: DataFrame) -> Column:
+    """Code of a PUMA in all joins: state and PUMA, as PUMA codes repeat from state to state.
+
+    A crosswalk that already has a ``PUMA`` column names its PUMAs by it.
+    """
+    return F.col("PUMA") if "PUMA" in crosswalk.columns else S.puma_key(F.col("STATEFP"), F.col("PUMA5CE"))
+
+
 def pumas_of(crosswalk: DataFrame, fips=None) -> DataFrame:
-    """Distinct PUMAs of a region (state, county or tract prefix)."""
-    return crosswalk.filter(S.in_region(F.col("CTFP"), fips)).select(F.col("PUMA5CE").alias("PUMA")).distinct()
+    """Distinct PUMAs of a region (state, county or tract prefix), each with its state (``puma_code``)."""
+    return crosswalk.filter(S.in_region(F.col("CTFP"), fips)).select(puma_code(crosswalk).alias("PUMA")).distinct()
 
 
 def occupation_lookup(codelist: DataFrame, subject: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -97,8 +105,15 @@ def race_eth_lookup(dictionary: DataFrame, by: Sequence[str] = (), leaves_only:
 
 
 def grade_lookup(dictionary: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Survey grade code of each school-grade variable, by its place in name order after the two totals."""
-    place = F.row_number().over(Window.partitionBy(*by).orderBy("name"))
+    """Survey grade code of each school-grade variable, by its place in name order after the two totals.
+
+    A name that stands twice in one edition stops the query, as the places behind it would be wrong: name the editions
+    in ``by``.
+    """
+    window = Window.partitionBy(*by).orderBy("name")
+    again = F.lag("name").over(window) == F.col("name")
+    message = F.concat(F.lit("variable stands twice in the dictionary, name its editions in by: "), F.col("name"))
+    place = F.when(again, F.raise_error(message).cast("int")).otherwise(F.row_number().over(window))
     codes = F.array(*[F.lit(c) for c in S.GRADE_CODES])
     return (
         dictionary.filter(F.col("name").rlike("B14007_"))
