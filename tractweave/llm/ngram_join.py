@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -208,8 +209,8 @@ def prefix_entries(n: int, tokens: np.ndarray, common: np.ndarray) -> np.ndarray
 
 def _assemble(packets: pa.Table, bits: int) -> pa.Table:
     """All sets of a slice with their repeated shingles and index entries."""
-    own = packets.filter(pa.compute.less(packets["to"], 0)).to_pylist()[0]
-    replies = packets.filter(pa.compute.greater_equal(packets["to"], 0)).to_pylist()
+    own = packets.filter(pc.less(packets["to"], 0)).to_pylist()[0]
+    replies = packets.filter(pc.greater_equal(packets["to"], 0)).to_pylist()
     sizes = np.frombuffer(own["sizes"], np.uint32).astype(np.int64)
     keys = np.frombuffer(own["keys"], np.int64).reshape(-1, 2)
     members = np.frombuffer(own["counts"], np.uint32)

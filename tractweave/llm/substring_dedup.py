@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -206,8 +207,8 @@ def _merge_windows(packets: pa.Table) -> pa.Table:
 
 def _split(packets: pa.Table) -> tuple[dict, np.ndarray, np.ndarray]:
     """A slice's own row, and the replies to it in the order of their hashes."""
-    own = packets.filter(pa.compute.less(packets["to"], 0)).to_pylist()[0]
-    return own, *_sorted_replies(packets.filter(pa.compute.greater_equal(packets["to"], 0)))
+    own = packets.filter(pc.less(packets["to"], 0)).to_pylist()[0]
+    return own, *_sorted_replies(packets.filter(pc.greater_equal(packets["to"], 0)))
 
 
 def _sorted_replies(replies: pa.Table) -> tuple[np.ndarray, np.ndarray]:
