@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tractweave.llm import (
     decontaminate,
+    filter_audit,
     licenses,
     line_dedup,
     mixing,
@@ -17,6 +18,7 @@ from tractweave.llm import (
     sharding,
     substring_dedup,
     toxicity,
+    whitening,
 )
 
 
@@ -64,6 +66,14 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_table(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening_table(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -77,6 +87,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_substrings,
         op9_ngram_join,
         op10_lines,
+        op11_filter_audit,
+        op12_whitening,
     )
 }
 
@@ -85,4 +97,5 @@ ORACLES: dict[str, str] = {
     "op6_licenses": licenses.license_sql(),
     "op7_rules": quality_rules.RULES_SQL,
     "op10_lines": line_dedup.LINE_SQL,
+    "op11_filter_audit": filter_audit.AUDIT_SQL,
 }
