@@ -5,34 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tractweave.llm.skew import hot_keys, join_in_parts
 from tractweave.operators.scale import stage
 
 
-def _least(edges: DataFrame, own: bool) -> DataFrame:
-    least = F.min("b")
-    return edges.groupBy("a").agg((F.least("a", least) if own else least).alias("m"))
+def _with_least(edges: DataFrame, own: bool, most: int) -> DataFrame:
+    """``m``: the least neighbour of ``a``, or ``a`` itself if that is less. The links of a hub are dealt over several tasks."""
+    least = edges.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n_rows"))
+    hot = hot_keys(least, ["a"], most)
+    m = F.least("a", "m") if own else F.col("m")
+    return join_in_parts(edges, least.select("a", m.alias("m")), ["a"], hot, F.col("b"))
 
 
 def connected_components(links: DataFrame) -> DataFrame:
     """``node`` and ``root``, the smallest node it is linked with over any number of links.
 
     ``links`` has ``a`` and ``b`` (long). Self-links name nodes without links. Every step is two grouped minima joined back,
-    written to the shared folder; hubs send one row per task to the minimum, and the number of steps grows with the
-    logarithm of the longest chain.
+    written to the shared folder; hubs send one row per task to the minimum and take it back in parts, and the number of
+    steps grows with the logarithm of the longest chain.
     """
     edges = stage(links.filter("a <> b").selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct(), "links")
-    before = None
+    state = None
     while True:
+        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.pmod(F.xxhash64("b", "a"), F.lit(1 << 30)))).first()
+        if now == state or now[0] == 0:
+            break
+        state, most = now, 2 * now[0]
         # large-star: every larger neighbour of a node is hung on the node's least neighbour
         both = edges.unionByName(edges.selectExpr("b AS a", "a AS b"))
-        large = both.join(_least(both, True), "a").filter("b > a").selectExpr("b AS a", "m AS b").filter("a <> b").distinct()
+        large = _with_least(both, True, most).filter("b > a").selectExpr("b AS a", "m AS b").filter("a <> b").distinct()
         # small-star: a node and its smaller neighbours are hung on the least of them
-        hung = large.join(_least(large, False), "a")
-        small = hung.selectExpr("b AS a", "m AS b").unionByName(hung.selectExpr("a", "m AS b")).filter("a <> b").distinct()
+        hung = _with_least(large, False, most)
+        small = hung.selectExpr("b AS a", "m AS b").unionByName(hung.selectExpr("a", "m AS b")).filter("a <> b")
         edges = stage(small.selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct(), "links")
-        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.pmod(F.xxhash64("b", "a"), F.lit(1 << 30)))).first()
-        if now == before:
-            break
-        before = now
     roots = edges.selectExpr("a AS node", "b AS root")
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())

@@ -11,6 +11,7 @@ from tractweave.llm import (
     filter_audit,
     licenses,
     line_dedup,
+    minhash,
     mixing,
     ngram_join,
     quality_bayes,
@@ -74,6 +75,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitening_table(table(spark, sf_dir, "embeddings"))
 
 
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.minhash_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_lines,
         op11_filter_audit,
         op12_whitening,
+        op13_minhash,
     )
 }
 

@@ -19,7 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tractweave.operators.scale import ceil_div, stage
+from tractweave.llm.skew import hot_keys, join_in_parts
+from tractweave.operators.scale import stage
 
 
 @dataclass(frozen=True)
@@ -31,11 +32,6 @@ class WhitenConfig:
     """``one``: every distinct vector counts once in sums and covariance; ``count``: as often as it occurs."""
     max_dims: int = 2048
     """The covariance is held by the driver and by each task, so its side is bounded."""
-    hot_rows: int = 1000
-    hot_vectors: int = 10_000
-    """A vector with more copies than ``hot_rows``, and than one in ``hot_vectors`` of all rows, is joined back in parts. There
-    are fewer than ``hot_vectors`` of these, so their list may be broadcast."""
-
 
 LARGEST = 2.0**53
 """Entries beyond are held there: a double has no unit digit above it."""
@@ -201,16 +197,11 @@ def identity_error(whitened: DataFrame, fit: Fit, config: WhitenConfig) -> float
     return float(np.abs(covariance - np.eye(fit.rank)).max())
 
 
-def _joined_back(rows: DataFrame, whitened: DataFrame, config: WhitenConfig) -> DataFrame:
+def _joined_back(rows: DataFrame, whitened: DataFrame) -> DataFrame:
     """The whitened form of every row; vectors with very many copies are joined in parts."""
-    n_rows = whitened.agg(F.sum("copies")).first()[0] or 0
-    most = F.lit(max(config.hot_rows, n_rows // config.hot_vectors))
-    hot = F.broadcast(whitened.filter(F.col("copies") > most).select("h1", "h2", ceil_div(F.col("copies"), most).alias("parts")))
-    one = F.lit(1).cast("long")
-    parts = F.coalesce("parts", one)
-    left = rows.select("id", "h1", "h2").join(hot, ["h1", "h2"], "left").withColumn("part", F.pmod(F.xxhash64("id"), parts))
-    right = whitened.drop("copies").join(hot, ["h1", "h2"], "left").withColumn("part", F.explode(F.sequence(one - 1, parts - 1)))
-    return left.drop("parts").join(right.drop("parts"), ["h1", "h2", "part"]).drop("h1", "h2", "part")
+    keys = ["h1", "h2"]
+    hot = hot_keys(whitened, keys, whitened.agg(F.sum("copies")).first()[0] or 0, "copies")
+    return join_in_parts(rows.select("id", *keys), whitened.drop("copies"), keys, hot, F.col("id")).drop(*keys)
 
 
 def whiten(table: DataFrame, id_col: str = "vec_id", vector: str = "embedding", config: WhitenConfig = WhitenConfig()) -> tuple[DataFrame, Fit | None, float]:
@@ -233,7 +224,7 @@ def whiten(table: DataFrame, id_col: str = "vec_id", vector: str = "embedding",
     if fit is None:
         return rows.select("id", F.lit(0).cast("long").alias("deviation"), F.array().cast("array<double>").alias("whitened")).limit(0), None, 0.0
     whitened = stage(whiten_distinct(distinct, fit), "whitened-vectors")
-    return _joined_back(rows, whitened, config), fit, identity_error(whitened, fit, config)
+    return _joined_back(rows, whitened), fit, identity_error(whitened, fit, config)
 
 
 def _numbers(values: Sequence[float | None]) -> Column:
