@@ -42,8 +42,8 @@ class Breaks:
 class FitConfig:
     """Weighting: stop rule, guards and the sizes that choose the kernel.
 
-    ``kernel_cells`` bounds the non-zero incidence cells one task may hold; larger pools are fitted by
-    distributed aggregates instead. ``task_cells`` bounds areas x support patterns handled at a time.
+    ``kernel_cells`` bounds the non-zero incidence cells one task may hold; larger pools are cut into parts of ``block_cells``
+    instead, with the same results. ``task_cells`` bounds areas x support patterns handled at a time.
     """
 
     max_iter: int = 60
@@ -52,6 +52,7 @@ class FitConfig:
     keep: str = "best"  # or "last"
     max_levels: int = 5_000
     kernel_cells: int = 8_000_000
+    block_cells: int = 2_000_000
     task_cells: int = 2_000_000
     steps_per_stage: int = 6
 

@@ -132,3 +132,27 @@ def match_positions(points: DataFrame, spans: DataFrame, keys: Sequence[str]) ->
         .filter("kind = 1")
         .select(*keys, "p", (F.col("pos") - F.col("span.lo")).alias("into"), "pos", F.col("span.v").alias("v"))
     )
+
+
+HOT_ROWS = 1000
+HOT_KEYS = 10_000
+"""A key with more rows than ``HOT_ROWS``, and more than one in ``HOT_KEYS`` of all, is dealt over several tasks. At most
+``HOT_KEYS`` keys can have so many rows, which bounds the list that is broadcast."""
+
+
+def hot_keys(counts: DataFrame, keys: Sequence[str], total: int, rows: str = "n_rows") -> DataFrame:
+    """``keys`` and number of ``parts`` of the keys with very many rows; ``total`` is the number of rows, or more."""
+    most = F.lit(max(HOT_ROWS, total // HOT_KEYS))
+    hot = counts.filter(F.col(rows) > most).select(*keys, ceil_div(F.col(rows), most).cast("int").alias("parts"))
+    return F.broadcast(hot)
+
+
+def join_in_parts(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], hot: DataFrame, spread: Column, how: str = "inner"
+) -> DataFrame:
+    """``left`` joined with ``right`` on ``keys``. Rows of a hot key are dealt over parts by ``spread``; right has a copy of
+    that key's rows for every part. ``hot`` may know only some of the keys."""
+    parts, known = F.coalesce("parts", F.lit(1)), [c for c in hot.columns if c != "parts"]
+    dealt = left.join(hot, known, "left").withColumn("_deal", F.pmod(F.xxhash64(spread), parts).cast("int")).drop("parts")
+    copied = right.join(hot, known, "left").withColumn("_deal", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    return dealt.join(copied, [*keys, "_deal"], how).drop("_deal")
