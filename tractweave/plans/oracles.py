@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from tractweave.config import AGE_BREAKS, GQ_AGE_BREAKS, INCOME_BREAKS, P_ATTRS
+from tractweave.config import AGE_BREAKS, GQ_AGE_BREAKS, GQ_ATTRS, HH_ATTRS, INCOME_BREAKS, P_ATTRS, FitConfig
 from tractweave.functions import scalars as S
 from tractweave.operators.targets import AGE_TOTALS, RACE_TOTALS
 from tractweave.plans.analogs import LABELS, N_OCCUPATIONS
@@ -232,14 +232,21 @@ def _true(attrs, seed: str, times: int) -> str:
     )
 
 
-FIT_HH = ("HH_Size", "HH_Type")
-FIT_P = ("Sex", "Age", "Race")
+# two sweeps over five attributes are written out step by step, the whole fit over all ten is a recursion
+K2_HH = ("HH_Size", "HH_Type")
+K2_P = ("Sex", "Age", "Race")
+FIT_HH, FIT_P = HH_ATTRS, P_ATTRS
 FIT_LEVELS = {
     "HH_Size": "1234567",
     "HH_Type": "12",
+    "HH_Income": "123",
     "Sex": "12",
     "Age": "123456789",
     "Race": "123",
+    "Hispanic": "01",
+    "Grade": [*[f"{i:02d}" for i in range(1, 17)], "bb"],
+    "School_Type": ("non", "pub", "pvt"),
+    "Occ_Group": [str(i) for i in range(11, 54, 2)] + ["99"],
     "GQ_Sex": "12",
     "GQ_Age": "123",
     "GQ_Type": ("Inst", "NonInst"),
@@ -249,26 +256,62 @@ VIEWS["true_p"] = _true(FIT_P, "p_seed", 5)
 VIEWS["true_all"] = "SELECT * FROM true_hh UNION ALL SELECT * FROM true_p"
 
 
-def fit_chain(prefix: str, base: str, targets: str, attrs, sweeps: int = 2) -> str:
-    """Weights of every area x household row after some sweeps, one window per update. ``base`` has columns d_<attr>_<level>."""
+def _fit_base(prefix: str, base: str, targets: str, attrs) -> list[tuple[str, str]]:
     cons = [(a, lv) for a in attrs for lv in FIT_LEVELS[a]]
     cols = ", ".join(
         f"max(target) FILTER (attr = '{a}' AND level = '{lv}') AS t{i}" for i, (a, lv) in enumerate(cons)
     )
     VIEWS[f"{prefix}_t"] = f"SELECT GEOID, {cols} FROM {targets} GROUP BY GEOID"
     VIEWS[f"{prefix}_w0"] = f"SELECT b.*, {', '.join(f't{i}' for i in range(len(cons)))}, cast(1 AS double) AS w FROM {base} b JOIN {prefix}_t USING (GEOID)"
+    return cons
+
+
+def _update(i: int, d: str, source: str) -> str:
+    total = f"sum({d} * w) OVER (PARTITION BY GEOID)"
+    return (
+        f"SELECT * REPLACE (CASE WHEN {d} > 0 AND t{i} IS NOT NULL AND {total} > 0 "
+        f"THEN w * (greatest(t{i}, 1e-5) / {total}) ELSE w END AS w) FROM {source}"
+    )
+
+
+def fit_chain(prefix: str, base: str, targets: str, attrs, sweeps: int = 2) -> str:
+    """Weights of every area x household row after some sweeps, one window per update. ``base`` has columns d_<attr>_<level>."""
     step = 0
-    for _ in range(sweeps):
-        for i, (a, lv) in enumerate(cons):
-            d = f"d_{a}_{lv}"
-            VIEWS[f"{prefix}_w{step + 1}"] = (
-                f"SELECT * REPLACE (CASE WHEN {d} > 0 AND t{i} IS NOT NULL AND sum({d} * w) OVER (PARTITION BY GEOID) > 0 "
-                f"THEN w * (greatest(t{i}, 1e-5) / sum({d} * w) OVER (PARTITION BY GEOID)) ELSE w END AS w) FROM {prefix}_w{step}"
-            )
-            step += 1
+    for i, (a, lv) in list(enumerate(_fit_base(prefix, base, targets, attrs))) * sweeps:
+        VIEWS[f"{prefix}_w{step + 1}"] = _update(i, f"d_{a}_{lv}", f"{prefix}_w{step}")
+        step += 1
     return f"{prefix}_w{step}"
 
 
+def fit_converged(prefix: str, base: str, targets: str, attrs, cfg: FitConfig = FitConfig()) -> str:
+    """Weights of the sweep with the least mean relative gap, in a recursion over sweeps that ends area by area.
+
+    ``<prefix>_it`` has a row per area, household and sweep; ``<prefix>_report`` one per area.
+    """
+    cons = _fit_base(prefix, base, targets, attrs)
+    rows = f"(SELECT b.* EXCLUDE (w), i.w, i.sweep, i.gap FROM {prefix}_it i JOIN {prefix}_w0 b USING (GEOID, SERIALNO) WHERE i.going)"
+    for i, (a, lv) in enumerate(cons):
+        rows = f"({_update(i, f'd_{a}_{lv}', rows)})"
+    miss = " + ".join(
+        f"CASE WHEN t{i} > 0 THEN abs(sum(d_{a}_{lv} * w) OVER (PARTITION BY GEOID) - t{i}) / t{i} ELSE 0 END" for i, (a, lv) in enumerate(cons)
+    )
+    counted = " + ".join(f"CASE WHEN t{i} > 0 THEN 1 ELSE 0 END" for i in range(len(cons)))
+    VIEWS[f"{prefix}_it"] = f"""
+SELECT GEOID, SERIALNO, w, 0 AS sweep, cast('inf' AS double) AS gap, false AS converged, true AS going FROM {prefix}_w0
+UNION ALL
+SELECT GEOID, SERIALNO, w, sweep + 1, new_gap, abs(gap - new_gap) < {cfg.tol}, abs(gap - new_gap) >= {cfg.tol} AND sweep + 1 < {cfg.max_iter}
+FROM (SELECT *, ({miss}) / greatest({counted}, 1) AS new_gap FROM {rows})"""
+    VIEWS[f"{prefix}_best"] = f"""
+SELECT GEOID, sweep FROM (SELECT DISTINCT GEOID, sweep, gap FROM {prefix}_it WHERE sweep > 0) QUALIFY row_number() OVER (PARTITION BY GEOID ORDER BY round(gap, 9), sweep) = 1"""
+    VIEWS[f"{prefix}_fin"] = f"SELECT b.* EXCLUDE (w), i.w FROM {prefix}_it i JOIN {prefix}_best USING (GEOID, sweep) JOIN {prefix}_w0 b USING (GEOID, SERIALNO)"
+    unreachable = " + ".join(f"CASE WHEN t{i} > 0 AND max(d_{a}_{lv}) = 0 THEN 1 ELSE 0 END" for i, (a, lv) in enumerate(cons))
+    VIEWS[f"{prefix}_report"] = f"""
+SELECT GEOID, sweeps, gap, converged, unreachable
+FROM (SELECT GEOID, max(sweep) AS sweeps, min(gap) AS gap, bool_or(converged) AS converged FROM {prefix}_it GROUP BY GEOID)
+JOIN (SELECT GEOID, {unreachable} AS unreachable FROM {prefix}_w0 GROUP BY GEOID, {', '.join(f't{i}' for i in range(len(cons)))}) USING (GEOID)"""
+    return f"{prefix}_fin"
+
+
 _hh_d = ", ".join(f"CASE WHEN cast({a} AS varchar) = '{lv}' THEN 1 ELSE 0 END AS d_{a}_{lv}" for a in FIT_HH for lv in FIT_LEVELS[a])
 _p_d = ", ".join(f"count(*) FILTER (cast({a} AS varchar) = '{lv}') AS d_{a}_{lv}" for a in FIT_P for lv in FIT_LEVELS[a])
 _gq_d = ", ".join(
@@ -279,8 +322,11 @@ VIEWS["p_d"] = f"SELECT SERIALNO, count(*) AS np, {_p_d} FROM p_seed GROUP BY SE
 VIEWS["base"] = "SELECT CTFP AS GEOID, hh_d.*, p_d.* EXCLUDE (SERIALNO) FROM xw JOIN hh_d ON PUMA = PUMA5CE JOIN p_d USING (SERIALNO)"
 VIEWS["gq_base"] = f"SELECT CTFP AS GEOID, PUMA, SERIALNO || '-' || SPORDER AS SERIALNO, {_gq_d} FROM xw JOIN gq_seed ON PUMA = PUMA5CE"
 
-IPU = fit_chain("ipu", "base", "true_all", (*FIT_HH, *FIT_P))
-RAKE = fit_chain("rake", "gq_base", "(SELECT * FROM gq_targets JOIN (SELECT GEOID FROM gq_targets GROUP BY GEOID HAVING sum(target) > 0) USING (GEOID))", ("GQ_Sex", "GQ_Age", "GQ_Type"))
+IPU = fit_chain("ipu", "base", "true_all", (*K2_HH, *K2_P))
+IPU_WHOLE = fit_converged("ipuc", "base", "true_all", (*FIT_HH, *FIT_P))
+_POPULATED = "(SELECT * FROM gq_targets JOIN (SELECT GEOID FROM gq_targets GROUP BY GEOID HAVING sum(target) > 0) USING (GEOID))"
+RAKE = fit_chain("rake", "gq_base", _POPULATED, GQ_ATTRS)
+RAKE_WHOLE = fit_converged("rakec", "gq_base", _POPULATED, GQ_ATTRS)
 
 
 def support(attrs, index: str) -> str:
@@ -291,7 +337,7 @@ def support(attrs, index: str) -> str:
 
 def _index(attrs, targets: str) -> str:
     order = "CASE attr " + " ".join(f"WHEN '{a}' THEN {i}" for i, a in enumerate(attrs)) + " END"
-    return f"SELECT attr, level, row_number() OVER (ORDER BY {order}, level) - 1 AS k FROM (SELECT DISTINCT attr, level FROM {targets} WHERE target IS NOT NULL)"
+    return f"SELECT attr, level, row_number() OVER (ORDER BY {order}, level) - 1 AS k FROM (SELECT DISTINCT attr, level FROM {targets} WHERE target IS NOT NULL AND attr IN ({quoted(attrs)}))"
 
 
 def draw_chain(prefix: str, weights: str, attrs, targets: str, seed: int = 42) -> str:
@@ -311,7 +357,8 @@ def position_chain(prefix: str, source: str, seed: int = 42) -> str:
     return f"{prefix}_draw"
 
 
-GQ_DRAW = draw_chain("rake", RAKE, ("GQ_Sex", "GQ_Age", "GQ_Type"), "gq_targets")
+VIEWS["rake_ix"] = _index(GQ_ATTRS, "gq_targets")
+GQ_DRAW = draw_chain("rakec", RAKE_WHOLE, GQ_ATTRS, "gq_targets")
 VIEWS["gq_pop"] = f"""
 SELECT d.GEOID, d.new_id, d.SERIALNO, s.* EXCLUDE (SERIALNO, PUMA), d.GEOID || 'GQ' || d.new_id AS p_id
 FROM {GQ_DRAW} d JOIN gq_seed s ON d.SERIALNO = s.SERIALNO || '-' || s.SPORDER"""
@@ -338,7 +385,7 @@ SELECT t.GEOID, t.attr, t.level, CASE WHEN target IS NOT NULL THEN greatest(targ
   greatest(coalesce(gq_count, 0) - target, 0) AS shortfall
 FROM true_p t LEFT JOIN gq_marginals g ON t.GEOID = g.GEOID AND t.attr = g.attr AND t.level = g.level"""
 VIEWS["syn_targets"] = "SELECT * FROM true_hh UNION ALL SELECT GEOID, attr, level, target FROM corrected"
-SYN = fit_chain("syn", "base", "syn_targets", (*FIT_HH, *FIT_P))
+SYN = fit_converged("syn", "base", "syn_targets", (*FIT_HH, *FIT_P))
 SYN_DRAW = draw_chain("syn", SYN, (*FIT_HH, *FIT_P), "syn_targets")
 
 
@@ -384,9 +431,9 @@ def compose(sql: str) -> str:
     visit(sql)
     if not needed:
         return sql
-    heads = ", ".join(f"{n} AS {'MATERIALIZED' if _costly(n) else ''} ({VIEWS[n]})" for n in needed)
-    return f"WITH {heads} {sql}"
+    heads = ", ".join(f"{n} AS {'MATERIALIZED ' if _costly(n) else ''}({VIEWS[n]})" for n in needed)
+    return f"WITH RECURSIVE {heads} {sql}"
 
 
 def _costly(name: str) -> bool:
-    return not name.startswith(("dict_", "lk_")) and not re.fullmatch(r"(ipu|rake|syn)_w\d+", name)
+    return not name.startswith(("dict_", "lk_")) and not re.fullmatch(r"(ipu|rake)_w\d+", name) and not name.endswith("_it")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -422,36 +423,45 @@ def rake_k2(spark, sf):
     return _fitted(W.fit_weights(*pools, seed, GQ_ATTRS, totals, cfg=TWO_SWEEPS.fit))
 
 
-def _fit_inputs(spark, sf, pums=None):
+def _fit_inputs(spark, sf, pums=None, hh_attrs=O.FIT_HH, p_attrs=O.FIT_P):
     hh, persons = _seeds(spark, sf, pums)
     homes = stage(T.residence(spark, sf, hh), "homes")
     return (
         hh,
         persons,
-        T.true_targets(spark, sf, hh, homes, O.FIT_HH),
-        T.true_targets(spark, sf, persons, homes, O.FIT_P),
+        T.true_targets(spark, sf, hh, homes, hh_attrs),
+        T.true_targets(spark, sf, persons, homes, p_attrs),
     )
 
 
-def _fit(spark, sf, cfg: FitConfig) -> W.Fit:
-    hh, persons, hh_t, p_t = _fit_inputs(spark, sf)
+def _fit(spark, sf, cfg: FitConfig, hh_attrs=O.FIT_HH, p_attrs=O.FIT_P) -> W.Fit:
+    hh, persons, hh_t, p_t = _fit_inputs(spark, sf, None, hh_attrs, p_attrs)
     pools = A.area_pools(A.area_pumas(T.areas(spark, sf), T.tract_pumas(spark, sf)))
     wanted = stage(hh_t.unionByName(p_t), "targets")
-    return W.fit_weights(*pools, hh, O.FIT_HH, wanted, persons, O.FIT_P, cfg)
+    return W.fit_weights(*pools, hh, hh_attrs, wanted, persons, p_attrs, cfg)
 
 
-O.VIEWS["ipu_ix"] = O._index((*O.FIT_HH, *O.FIT_P), "true_all")
+O.VIEWS["ipu_ix"] = O._index((*O.K2_HH, *O.K2_P), "true_all")
+_IPU_K2 = _fitted_sql(O.IPU, (*O.K2_HH, *O.K2_P), "ipu_ix")
 
 
-@query(_fitted_sql(O.IPU, (*O.FIT_HH, *O.FIT_P), "ipu_ix"))
+@query(_IPU_K2)
 def ipu_k2(spark, sf):
-    return _fitted(_fit(spark, sf, TWO_SWEEPS.fit))
+    return _fitted(_fit(spark, sf, TWO_SWEEPS.fit, O.K2_HH, O.K2_P))
 
 
-@query()
+@query(_IPU_K2)
+def ipu_parted(spark, sf):
+    """The same fit with every pool cut into parts, as pools are that do not fit a task."""
+    cfg = replace(TWO_SWEEPS.fit, kernel_cells=0, block_cells=1000)
+    return _fitted(_fit(spark, sf, cfg, O.K2_HH, O.K2_P))
+
+
+@query("SELECT GEOID, sweeps, round(gap, 6) AS gap, unreachable, converged FROM ipuc_report")
 def ipu_converged(spark, sf):
     """Report of the full fit: sweeps, mean relative gap and unreachable targets of every area."""
-    return _fit(spark, sf, FitConfig()).factors.select("GEOID", "sweeps", F.round("gap", 6).alias("gap"), "unreachable")
+    fit = _fit(spark, sf, FitConfig())
+    return fit.factors.select("GEOID", "sweeps", F.round("gap", 6).alias("gap"), "unreachable", "converged")
 
 
 O.VIEWS["home_w"] = """
@@ -495,7 +505,6 @@ def _gq_pop(spark, sf, pums=None) -> DataFrame:
         T.tract_pumas(spark, sf),
         seed,
         targets.gq_targets(_gq_totals(spark, sf)),
-        TWO_SWEEPS,
         id_col="pid",
     ).drop("pid")
 
@@ -532,7 +541,7 @@ def append_gq(spark, sf):
     return G.append_gq(_home_persons(spark, sf, pums), G.gq_clean(_gq_pop(spark, sf, pums), T.occupations(spark, sf), attrs))
 
 
-def population(spark, sf, cfg: SynthConfig = TWO_SWEEPS) -> tuple[Population, DataFrame]:
+def population(spark, sf, cfg: SynthConfig = SynthConfig()) -> tuple[Population, DataFrame]:
     """Synthetic population of every area with group quarters, and the uncorrected targets."""
     pums = _pums(spark, sf)
     hh, persons, hh_t, p_t = _fit_inputs(spark, sf, pums)
