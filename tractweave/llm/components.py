@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tractweave.llm.skew import hot_keys, join_in_parts
-from tractweave.operators.scale import stage
+from tractweave.operators.scale import hot_keys, join_in_parts, stage
 
 
 def _with_least(edges: DataFrame, own: bool, most: int) -> DataFrame:

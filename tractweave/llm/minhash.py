@@ -20,14 +20,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tractweave.llm import packed
-from tractweave.llm.components import connected_components
-from tractweave.llm.shingles import document_sets, overlaps, set_names
-from tractweave.llm.skew import hot_keys, join_in_parts
-from tractweave.operators.scale import shuffle_width, stage
+from tractweave.llm import linking, packed
+from tractweave.llm.shingles import document_sets, set_names
+from tractweave.operators.scale import stage
 
 
 @dataclass(frozen=True)
@@ -78,15 +76,11 @@ def _lists(offsets: np.ndarray, values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
 
 
-def _bytes(lines: np.ndarray) -> pa.Array:
-    return pa.array([line.tobytes() for line in lines], pa.binary())
-
-
-_SIGNED = ["sid", "ids", "home", "home_text", "n", "k1", "k2", "bands", "signature"]
+_SIGNED = ["sid", "docs", "n", "k1", "k2", "buckets", "signature"]
 
 
 def _signed(ids: pa.Array, names: pa.Array, raw: np.ndarray, offsets: np.ndarray, first: int, config: MinHashConfig) -> pa.RecordBatch:
-    """The distinct sets of a slice: ids, one document to find the text by, size, 128-bit name, bands and signature."""
+    """The distinct sets of a slice: documents (id and name of the text), size, 128-bit name, bands and signature."""
     n = len(offsets) - 1
     owner, hashed = document_sets(raw, offsets, config.shingle)
     sizes, keys = set_names(owner, hashed, n)
@@ -108,13 +102,12 @@ def _signed(ids: pa.Array, names: pa.Array, raw: np.ndarray, offsets: np.ndarray
     signature = np.empty(len(at), object)
     signature[:] = b""
     signature[some] = [x.tobytes() for x in (packed.mixed(least.astype(np.uint64)) & np.uint64(255)).astype(np.uint8)]
-    place = pa.array(at)
+    members = pa.array(members)
+    documents = pa.StructArray.from_arrays([ids.take(members), names.take(members)], ["id", "name"])
     return pa.RecordBatch.from_arrays(
         [
             pa.array(first + np.arange(len(at))),
-            _lists(borders, ids.take(pa.array(members))),
-            ids.take(place),
-            names.take(place),
+            _lists(borders, documents),
             pa.array(sizes[at].astype(np.int64)),
             pa.array(keys[at, 0].view(np.int64)),
             pa.array(keys[at, 1].view(np.int64)),
@@ -142,14 +135,15 @@ def signed_sets(docs: DataFrame, config: MinHashConfig) -> DataFrame:
                     ids, names = (batch.column(c).slice(k, end - k) for c in ("doc_id", "name"))
                     yield _signed(ids, names, raw[offsets[k] : offsets[end]], offsets[k : end + 1] - offsets[k], number, config)
                     number += end - k
+        packed.release()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"sid long, ids array<{kind}>, home {kind}, home_text long, n long, k1 long, k2 long, bands array<long>, signature binary"
+    schema = f"sid long, docs array<struct<id:{kind},name:long>>, n long, k1 long, k2 long, buckets array<long>, signature binary"
     return stage(_named(docs).mapInArrow(sign, schema), "signed-sets")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, config: MinHashConfig) -> DataFrame:
-    """Stored ``(sid, n, shingles)`` of the ``wanted`` sets ``(sid, home, home_text)``, made from the text of their home document."""
+    """Stored ``(sid, n, shingles)`` of the ``wanted`` sets ``(sid, docs)``, made from the text of their first document."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,35 +154,15 @@ def full_sets(docs: DataFrame, wanted: DataFrame, config: MinHashConfig) -> Data
                 ends = np.concatenate([[0], np.cumsum(sizes)])
                 shingles = pa.array([hashed[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column("sid").slice(i, j - i), pa.array(sizes.astype(np.int64)), shingles], ["sid", "n", "shingles"])
+        packed.release()
 
-    same = F.col("doc_id").eqNullSafe(F.col("home")) & (F.col("name") == F.col("home_text"))
-    texts = _named(docs).join(wanted.select("sid", "home", "home_text"), same).select("sid", "text")
+    home = wanted.select("sid", F.get("docs", F.lit(0)).alias("home"))
+    same = F.col("doc_id").eqNullSafe(F.col("home.id")) & (F.col("name") == F.col("home.name"))
+    texts = _named(docs).join(home, same).select("sid", "text")
     made = texts.mapInArrow(read, "sid long, n long, shingles binary")
     return stage(made.dropDuplicates(["sid"]), "full-sets")  # rows may repeat a document
 
 
-def buckets(sets: DataFrame) -> DataFrame:
-    """Stored ``(v, sid, least, size)``: members of every bucket of two sets and more, with its least set and size."""
-    rows = sets.select("sid", F.explode("bands").alias("v"))
-    sizes = rows.groupBy("v").agg(F.min("sid").alias("least"), F.count("*").alias("size")).filter("size > 1")
-    hot = hot_keys(sizes, ["v"], rows.count(), "size")
-    return stage(join_in_parts(rows, sizes, ["v"], hot, F.col("sid")), "buckets")
-
-
-def _both_sides(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
-    """Pairs ``(a, b)`` with size and ``column`` of both; a set that is ``b`` of very many pairs is sent in parts."""
-    hot = hot_keys(pairs.groupBy("b").agg(F.count("*").alias("n_rows")), ["b"], pairs.count())
-
-    def side(name: str) -> DataFrame:
-        return sets.select(F.col("sid").alias(name), F.col("n").alias(f"n_{name}"), F.col(column).alias(f"x_{name}"))
-
-    return join_in_parts(pairs.join(side("a"), "a"), side("b"), ["b"], hot, F.col("a"))
-
-
-def near_size(a: Column, b: Column, config: MinHashConfig) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * config.percent
-
-
 def agreeing_pairs(pairs: DataFrame, sets: DataFrame, config: MinHashConfig) -> DataFrame:
     """Stored ``(a, b, agree)``: pairs whose sizes and signatures allow a link."""
 
@@ -200,66 +174,10 @@ def agreeing_pairs(pairs: DataFrame, sets: DataFrame, config: MinHashConfig) ->
             enough = pa.array(same >= config.agree)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(same.astype(np.int64))], ["a", "b", "agree"]).filter(enough)
 
-    both = _both_sides(pairs, sets, "signature").filter(near_size(F.col("n_a"), F.col("n_b"), config))
+    both = linking.both_sides(pairs, sets, "signature").filter(linking.near_size(F.col("n_a"), F.col("n_b"), config.percent))
     return stage(both.select("a", "b", "x_a", "x_b").mapInArrow(compare, "a long, b long, agree long"), "agreeing-pairs")
 
 
-def linked_pairs(pairs: DataFrame, full: DataFrame, config: MinHashConfig) -> DataFrame:
-    """Stored ``(a, b)``: the pairs whose full sets are similar enough."""
-
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = []
-            for x, y in zip(batch.column("x_a"), batch.column("x_b"), strict=True):
-                x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * shared >= config.percent * (len(x) + len(y) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
-
-    return stage(_both_sides(pairs, full, "shingles").select("a", "b", "x_a", "x_b").mapInArrow(confirm, "a long, b long"), "links")
-
-
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Runs of rows with equal ``keys`` of sorted batches; a run may stretch over several."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not len(batch):
-            continue
-        columns = np.column_stack([batch.column(k).to_numpy() for k in keys])
-        borders = np.flatnonzero((columns[1:] != columns[:-1]).any(axis=1)) + 1
-        if last is not None and (columns[0] != last).any():
-            yield pa.Table.from_batches(held)
-            held = []
-        at = 0
-        for border in borders.tolist():
-            held.append(batch.slice(at, border - at))
-            yield pa.Table.from_batches(held)
-            held, at = [], border
-        held.append(batch.slice(at))
-        last = columns[-1]
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def _in_blocks(members: DataFrame, config: MinHashConfig) -> DataFrame:
-    """Members ``(v, sid, root, ...)`` of every bucket in blocks, once for each two blocks ``(x, y)``; rows of a group come together."""
-    sizes = members.groupBy("v").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
-    hot = hot_keys(sizes, ["v"], members.count(), "size")
-    blocks = F.when(F.col("size") <= 2 * config.block_sets, 1).otherwise(F.ceil(F.col("size") / config.block_sets)).cast("int")
-    rows = join_in_parts(members, sizes.select("v", blocks.alias("blocks")), ["v"], hot, F.col("sid"))
-    own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    return (
-        rows.withColumn("own", own)
-        .withColumn("other", other)
-        .withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")})
-        .drop("blocks", "other")
-        .repartition(shuffle_width(members.sparkSession), "v", "x", "y")
-        .sortWithinPartitions("v", "x", "y")
-    )
-
-
 def _may_link(group: pa.Table, config: MinHashConfig) -> np.ndarray:
     """Sets of a block pair that may be linked with one of another component."""
     m = len(group)
@@ -278,66 +196,17 @@ def _may_link(group: pa.Table, config: MinHashConfig) -> np.ndarray:
     return found
 
 
-def _block_links(group: pa.Table, config: MinHashConfig) -> tuple[np.ndarray, np.ndarray]:
-    """Of a block pair's sets, (set, first set reached) over any number of links between full sets."""
-    ids, first = np.unique(group["sid"].to_numpy(), return_index=True)
-    shingles = [np.frombuffer(group["shingles"][i].as_buffer(), np.uint64) for i in first.tolist()]
-    m, sizes = len(ids), np.array([len(s) for s in shingles])
-    every = np.concatenate(shingles)
-    order = np.argsort(every, kind="stable")
-    every, owner = every[order], np.repeat(np.arange(m), sizes)[order]
-    run = np.cumsum(np.concatenate([[True], every[1:] != every[:-1]])) - 1
-    several = np.bincount(run)[run] > 1
-    shared = overlaps(np.unique(run[several], return_inverse=True)[1], owner[several], m)
-    links = 100 * shared >= config.percent * (sizes[:, None] + sizes - shared)
-    root = np.full(m, -1)
-    for s in range(m):
-        if root[s] < 0:
-            reached = edge = np.arange(m) == s
-            while edge.any():
-                edge = links[edge].any(axis=0) & ~reached
-                reached = reached | edge
-            root[reached] = s
-    return ids, ids[root]
-
-
-def links_between_components(members: DataFrame, roots: DataFrame, sets: DataFrame, full: DataFrame, config: MinHashConfig) -> DataFrame:
-    """Links that connect sets of one bucket but different components, all of them up to connectedness."""
-
-    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, ["v", "x", "y"]):
-            found = pa.array(_may_link(group, config))
-            yield from group.select(["v", "sid", "root"]).filter(found).to_batches()
-
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, ["v", "x", "y"]):
-            a, b = _block_links(group, config)
-            yield pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], ["a", "b"])
-
-    rooted = members.filter("size > 2").select("v", "sid").join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "sid"))
-    mixed = rooted.groupBy("v").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("v")
-    open_rows = stage(rooted.join(mixed, "v", "left_semi").join(sets.select("sid", "n", "signature"), "sid"), "open-buckets")
-    sifted = _in_blocks(open_rows, config).mapInArrow(sift, "v long, sid long, root long").distinct()
-    left = stage(sifted, "open-sets").join(full.select("sid", "shingles"), "sid")
-    return stage(_in_blocks(left, config).mapInArrow(confirm, "a long, b long").distinct(), "links")
-
-
 def set_components(docs: DataFrame, sets: DataFrame, config: MinHashConfig) -> DataFrame:
     """``(node, root)`` of every set that is linked with another."""
-    members = buckets(sets)
-    pairs = stage(members.filter("sid <> least").select(F.col("sid").alias("a"), F.col("least").alias("b")).distinct(), "bucket-pairs")
+    members = linking.buckets(sets)
+    pairs = stage(linking.least_pairs(members).drop("times"), "bucket-pairs")
     agreeing = agreeing_pairs(pairs, sets, config)
     # a set of a larger bucket may have its partners among the others
     wanted = agreeing.select("a").union(agreeing.select("b")).union(members.filter("size > 2").select("sid")).distinct()
     full = full_sets(docs, sets.join(wanted.withColumnRenamed("a", "sid"), "sid", "left_semi"), config)
-    best = agreeing.groupBy("a").agg(F.max_by("b", "agree").alias("b"))
-    links = linked_pairs(stage(best, "best-pairs"), full, config)
-    roots = stage(connected_components(links), "components")
-    more = links_between_components(members, roots, sets, full, config)
-    if more.isEmpty():
-        return roots
-    return connected_components(links.unionByName(more))
+    best = stage(agreeing.groupBy("a").agg(F.max_by("b", "agree").alias("b")), "best-pairs")
+    signed = sets.select("sid", "n", "signature")
+    return linking.set_components(members, best, signed, full, config.percent, config.block_sets, lambda group: _may_link(group, config))
 
 
 def minhash_components(docs: DataFrame, config: MinHashConfig = MinHashConfig()) -> DataFrame:
@@ -351,24 +220,9 @@ def minhash_components(docs: DataFrame, config: MinHashConfig = MinHashConfig())
     same both times. Other columns are not looked at; an empty table gives an empty one.
     """
     signed = signed_sets(docs, config)
-    keys = ["k1", "k2", "n"]
-    filled = signed.filter("n > 0")
-    names = stage(
-        filled.groupBy(*keys).agg(F.min("sid").alias("sid"), F.min(F.array_min("ids")).alias("least"), F.count("*").alias("n_rows")),
-        "set-names",
-    )
-    columns = ["sid", "home", "home_text", "n", "bands", "signature"]
-    sets = stage(filled.select(*columns).join(names.select("sid"), "sid", "left_semi"), "distinct-sets")
-    roots = stage(set_components(docs, sets, config).select(F.col("node").alias("sid"), "root"), "set-roots")
-
-    rooted = names.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    per_root = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n_rows"))
-    n_names, n_rows = names.agg(F.count("*"), F.sum("n_rows")).first()
-    hot = hot_keys(per_root, ["root"], n_names)
-    found = join_in_parts(rooted.select(*keys, "sid", "root", "n_rows"), per_root.drop("n_rows"), ["root"], hot, F.col("sid"))
-    found = stage(found.select(*keys, "component_id", "n_rows"), "set-components")
-    hot = hot_keys(found, keys, n_rows or 0)
-    placed = join_in_parts(filled.select(*keys, "sid", "ids"), found.select(*keys, "component_id"), keys, hot, F.col("sid"))
-    placed = placed.select(F.explode("ids").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
-    alone = signed.filter("n = 0").select(F.explode("ids").alias("doc_id"), F.col("n").alias("n_shingles")).withColumn("component_id", F.col("doc_id"))
-    return placed.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    names = linking.distinct_names(signed)
+    columns = ["sid", "docs", "n", "buckets", "signature"]
+    sets = stage(signed.select(*columns).join(names.select("sid"), "sid", "left_semi"), "distinct-sets")
+    roots = stage(set_components(docs, sets, config), "set-roots")
+    rows = linking.document_components(signed, names, roots)
+    return rows.select(F.col("doc.id").alias("doc_id"), "n_shingles", "component_id", F.col("doc.id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -8,12 +8,14 @@
    - if both prefixes reach into the frequent class and share no rare shingle, all they share is frequent. The prefix is
      extended to 0.4 n - 2 u + 2 frequent shingles (u: rarer ones): differences break at most 0.4 n - 2 u of the
      adjacent pairs in it, so one adjacent pair is the same in both. Frequent shingles are indexed in such pairs.
-3. Sets that share an index entry fall into one coarse group, and groups are verified exactly, in blocks of bounded size.
-   Overlap needs the repeated shingles alone.
+3. Every set is verified with the one it shares most entries with, of the least sets of its entries; then entries whose
+   sets still lie in several components are verified in blocks of bounded size (``linking``). Overlap needs the repeated
+   shingles alone.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,12 +24,10 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tractweave.llm import exchange, packed
-from tractweave.llm.components import connected_components
-from tractweave.llm.shingles import document_sets, overlaps, set_names
-from tractweave.operators.scale import shuffle_width, stage
+from tractweave.llm import exchange, linking, packed
+from tractweave.llm.shingles import document_sets, set_names
+from tractweave.operators.scale import stage
 
 
 @dataclass(frozen=True)
@@ -36,32 +36,37 @@ class JoinConfig:
     frequent: int = 64
     """A shingle that more sets have is of the frequent class. The result does not depend on it."""
     slice_bytes: int = 2 << 20
-    block_sets: int = 2048
-    block_bytes: int = 16 << 20
-    """Sets, and bytes of their shingles, that are verified in one block. Larger groups are cut into blocks, and each pair of
-    blocks is a task."""
+    block_sets: int = linking.BLOCK_SETS
+    """Sets that are verified in one block. Larger groups are cut into blocks, and each pair of blocks is a task."""
 
 
 SLICE_DOCS = 60_000
+"""Below 2**16, so that slice and set make one number."""
+
+
+
+def _packet(kind: pa.DataType) -> pa.Schema:
+    return pa.schema(
+        [
+            ("to", pa.int64()),  # bucket, or below 0 for what a slice keeps for itself
+            ("slice", pa.int64()),
+            ("hashes", pa.binary()),
+            ("owners", pa.binary()),
+            ("shared", pa.binary()),
+            ("counts", pa.binary()),
+            ("ids", pa.list_(kind)),
+            ("names", pa.list_(pa.int64())),
+            ("sizes", pa.binary()),
+            ("keys", pa.binary()),
+        ]
+    )
+
+
+_PACKET_SQL = "to long, slice long, hashes binary, owners binary, shared binary, counts binary, ids array<{}>, names array<long>, sizes binary, keys binary"
+_SET_SQL = "sid long, docs array<struct<id:{},name:long>>, n long, k1 long, k2 long, shingles binary, buckets array<long>"
 
-_PACKET = pa.schema(
-    [
-        ("to", pa.int64()),  # bucket, or below 0 for what a slice keeps for itself
-        ("slice", pa.int64()),
-        ("hashes", pa.binary()),
-        ("owners", pa.binary()),
-        ("shared", pa.binary()),
-        ("counts", pa.binary()),
-        ("ids", pa.list_(pa.int64())),
-        ("sizes", pa.binary()),
-        ("keys", pa.binary()),
-    ]
-)
-_PACKET_SQL = "to long, slice long, hashes binary, owners binary, shared binary, counts binary, ids array<long>, sizes binary, keys binary"
-_SET_SQL = "ids array<long>, n long, k1 long, k2 long, tokens binary, entries array<long>"
-
-
-def _packets(ids: list, raw: np.ndarray, offsets: np.ndarray, number: int, bits: int, config: JoinConfig) -> pa.RecordBatch:
+
+def _packets(ids: pa.Array, names: pa.Array, raw: np.ndarray, offsets: np.ndarray, number: int, bits: int, config: JoinConfig) -> pa.RecordBatch:
     n = len(offsets) - 1
     owner, hashed = document_sets(raw, offsets, config.shingle)
     hashed = exchange.folded(hashed, bits)
@@ -83,7 +88,8 @@ def _packets(ids: list, raw: np.ndarray, offsets: np.ndarray, number: int, bits:
     single = many[run] == 1 if len(run) else np.zeros(0, bool)
     alone, alone_owner = hashed[single], owner[single]
     shared, shared_count = hashed[fresh][many > 1], many[many > 1]
-    rows = {name: [] for name in _PACKET.names}
+    schema = _packet(ids.type)
+    rows = {name: [] for name in schema.names}
 
     def add(**values):
         for name in rows:
@@ -102,18 +108,19 @@ def _packets(ids: list, raw: np.ndarray, offsets: np.ndarray, number: int, bits:
             shared=exchange.pack(shared[p:q]),
             counts=shared_count[p:q].astype(np.uint32).tobytes(),
         )
-    members = sorted(range(n), key=lambda d: number_of[set_of[d]])
+    members = pa.array(np.argsort(number_of[set_of], kind="stable"))
     add(
         to=-1 - number,
         slice=number,
         hashes=hashed[~single].tobytes(),
         owners=owner[~single].astype(np.uint16).tobytes(),
         counts=np.bincount(number_of[set_of], minlength=len(sets)).astype(np.uint32).tobytes(),
-        ids=[ids[d] for d in members],
+        ids=ids.take(members).to_pylist(),
+        names=names.take(members).to_pylist(),
         sizes=sizes[sets].astype(np.uint32).tobytes(),
         keys=keys[sets].tobytes(),
     )
-    return pa.RecordBatch.from_pydict(rows, _PACKET)
+    return pa.RecordBatch.from_pydict(rows, schema)
 
 
 def _merge_bucket(packets: pa.Table, bits: int, frequent: int) -> pa.Table:
@@ -130,7 +137,7 @@ def _merge_bucket(packets: pa.Table, bits: int, frequent: int) -> pa.Table:
     order = np.argsort(every, kind="stable")
     found, first = np.unique(every[order], return_index=True)
     sets = np.add.reduceat(weight[order], first)
-    rows = {name: [] for name in _PACKET.names}
+    rows = {name: [] for name in packets.column_names}
     for number, a, s, owners in zip(packets["slice"].to_pylist(), alone, shared, packets["owners"].to_pylist(), strict=True):
         in_sets = sets[np.searchsorted(found, a)]
         again = in_sets > 1
@@ -146,7 +153,7 @@ def _merge_bucket(packets: pa.Table, bits: int, frequent: int) -> pa.Table:
         rows["sizes"][-1] = (in_sets[again] > frequent).astype(np.uint8).tobytes()
         rows["shared"][-1] = exchange.pack(s)
         rows["counts"][-1] = (sets[np.searchsorted(found, s)] > frequent).astype(np.uint8).tobytes()
-    return pa.Table.from_pydict(rows, _PACKET)
+    return pa.Table.from_pydict(rows, packets.schema)
 
 
 def prefix_entries(n: int, tokens: np.ndarray, common: np.ndarray) -> np.ndarray | None:
@@ -192,111 +199,71 @@ def _assemble(packets: pa.Table, bits: int) -> pa.Table:
     token, owner, often = token[order], owner[order], often[order]
     at = np.searchsorted(owner, np.arange(len(sizes) + 1))
     last = np.cumsum(members)
-    rows = {"ids": [], "n": [], "k1": [], "k2": [], "tokens": [], "entries": []}
+    rows = {"sid": [], "docs": [], "n": [], "k1": [], "k2": [], "shingles": [], "buckets": []}
+    docs = [{"id": i, "name": t} for i, t in zip(own["ids"], own["names"], strict=True)]
     for s, n in enumerate(sizes.tolist()):
         mine = token[at[s] : at[s + 1]]
         entries = prefix_entries(n, mine, often[at[s] : at[s + 1]]) if n else None
-        rows["ids"].append(own["ids"][last[s] - members[s] : last[s]])
+        rows["sid"].append((own["slice"] << 16) + s)
+        rows["docs"].append(docs[last[s] - members[s] : last[s]])
         rows["n"].append(n)
         rows["k1"].append(keys[s, 0])
         rows["k2"].append(keys[s, 1])
-        rows["tokens"].append(None if entries is None else np.sort(mine).tobytes())
-        rows["entries"].append(None if entries is None else entries.view(np.int64))
-    types = [pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+        rows["shingles"].append(None if entries is None else np.sort(mine).tobytes())
+        rows["buckets"].append(None if entries is None else np.unique(entries).view(np.int64))
+    document = pa.struct([("id", packets.schema.field("ids").type.value_type), ("name", pa.int64())])
+    types = [pa.int64(), pa.list_(document), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
     return pa.Table.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), types, strict=True)], list(rows))
 
 
-def linked_roots(sizes: np.ndarray, tokens: list[np.ndarray]) -> np.ndarray:
-    """For each set of a block the first set it is linked with, over any number of links in the block."""
-    m = len(sizes)
-    root = np.arange(m)
-    every = np.concatenate(tokens) if m else np.zeros(0, np.uint64)
-    owner = np.repeat(np.arange(m), [len(t) for t in tokens])
-    order = np.argsort(every, kind="stable")
-    every, owner = every[order], owner[order]
-    fresh = np.concatenate([[True], every[1:] != every[:-1]]) if len(every) else np.zeros(0, bool)
-    run = np.cumsum(fresh) - 1
-    several = np.bincount(run)[run] > 1 if len(run) else np.zeros(0, bool)
-    run, owner = np.unique(run[several], return_inverse=True)[1], owner[several]
-    overlap = overlaps(run, owner, m)
-    links = 5 * overlap >= 4 * (sizes[:, None] + sizes[None, :] - overlap)
-    for s in range(m):  # flood from the lowest set that is not reached yet
-        if root[s] != s:
-            continue
-        reached, edge = np.zeros(m, bool), np.zeros(m, bool)
-        reached[s] = edge[s] = True
-        while edge.any():
-            edge = links[edge].any(0) & ~reached
-            reached |= edge
-        root[reached] = np.minimum(root[reached], s)
-    return root
-
-
-def _verify_block(block: pa.Table) -> pa.Table:
-    names = block["k1"].to_numpy()
-    order = np.argsort(names)
-    tokens = [np.frombuffer(t, np.uint64) for t in block["tokens"].to_pylist()]
-    root = linked_roots(block["n"].to_numpy()[order].astype(np.float64), [tokens[i] for i in order])
-    names = names[order]
-    linked = np.bincount(root, minlength=len(root))[root] > 1
-    return pa.table({"a": names[linked], "b": names[root[linked]]})
-
-
 def ngram_sets(docs: DataFrame, config: JoinConfig = JoinConfig()) -> DataFrame:
     """Stored table of all distinct sets of every slice: ids of its documents, size, name, and for those that may be
     linked the repeated shingles and index entries."""
     bits = exchange.bucket_bits(docs, 6.0)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    packet = _PACKET_SQL.format(kind)
 
     def packets(batches):
-        number = TaskContext.get().partitionId() << 32
+        number = TaskContext.get().partitionId() << 24
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
             raw, offsets = packed.buffers(batch.column("text"))
             for i, j in packed.slices(offsets, config.slice_bytes):
                 for k in range(i, j, SLICE_DOCS):
                     end = min(j, k + SLICE_DOCS)
-                    yield _packets(ids[k:end], raw[offsets[k] : offsets[end]], offsets[k : end + 1] - offsets[k], number, bits, config)
+                    ids, names = (batch.column(c).slice(k, end - k) for c in ("doc_id", "name"))
+                    yield _packets(ids, names, raw[offsets[k] : offsets[end]], offsets[k : end + 1] - offsets[k], number, bits, config)
                     number += 1
+        packed.release()
 
-    sent = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(packets, _PACKET_SQL)
-    merged = sent.groupBy("to").applyInArrow(lambda t: _merge_bucket(t, bits, config.frequent), _PACKET_SQL)
-    replies = stage(merged, "shingle-replies")
-    return stage(replies.groupBy("slice").applyInArrow(lambda t: _assemble(t, bits), _SET_SQL), "shingle-sets")
-
-
-def linked_sets(sets: DataFrame, config: JoinConfig = JoinConfig()) -> DataFrame:
-    """``node`` (name of a set) and ``root`` for every set that is linked with another."""
-    entries = sets.filter("entries IS NOT NULL").select("k1", F.explode("entries").alias("entry"))
-    least = entries.groupBy("entry").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo <> hi").drop("hi")
-    shared = entries.join(least, "entry").filter("k1 <> lo").select(F.col("k1").alias("a"), F.col("lo").alias("b")).distinct()
-    coarse = stage(connected_components(shared), "coarse-groups")
-    candidates = (
-        sets.filter("tokens IS NOT NULL")
-        .select("k1", "n", "tokens")
-        .join(coarse.select(F.col("node").alias("k1"), F.col("root").alias("coarse")), "k1")
-        .groupBy("k1")  # copies in other slices
-        .agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("coarse").alias("coarse"))
-    )
-    candidates = stage(candidates, "candidates")
-    blocks = candidates.groupBy("coarse").agg(
-        F.greatest(
-            F.ceil(F.count("*") * 2 / config.block_sets), F.ceil(F.sum(F.octet_length("tokens")) * 2 / config.block_bytes)
-        ).alias("n_blocks")
-    )
-    # up to two halves fit one block; beyond, every pair of blocks is compared
-    n_blocks = F.when(F.col("n_blocks") <= 2, 1).otherwise(F.col("n_blocks")).cast("int")
-    own = F.pmod(F.xxhash64("k1"), F.col("n_blocks").cast("long")).cast("int")
-    paired = (
-        candidates.join(blocks.withColumn("n_blocks", n_blocks), "coarse")
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-        .select("coarse", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "k1", "n", "tokens")
-        .repartition(shuffle_width(sets.sparkSession), "coarse", "x", "y")  # else the join leaves all blocks of a group together
-    )
-    links = stage(paired.groupBy("coarse", "x", "y").applyInArrow(_verify_block, "a long, b long"), "verified-links")
-    if blocks.filter("n_blocks > 2").isEmpty():
-        return links.selectExpr("a AS node", "b AS root")
-    return connected_components(links)
+    def merge(table: pa.Table) -> pa.Table:
+        out = _merge_bucket(table, bits, config.frequent)
+        packed.release()
+        return out
+
+    def assemble(table: pa.Table) -> pa.Table:
+        out = _assemble(table, bits)
+        packed.release()
+        return out
+
+    sent = docs.select("doc_id", "text").withColumn("name", F.xxhash64("text")).mapInArrow(packets, packet)
+    replies = stage(sent.groupBy("to").applyInArrow(merge, packet), "shingle-replies")
+    return stage(replies.groupBy("slice").applyInArrow(assemble, _SET_SQL.format(kind)), "shingle-sets")
+
+
+def set_roots(sets: DataFrame, names: DataFrame, config: JoinConfig = JoinConfig()) -> DataFrame:
+    """``node`` and ``root``, both ``sid``, for every distinct set that is linked with another."""
+    indexed = sets.filter("buckets IS NOT NULL").join(names.select("sid"), "sid", "left_semi")
+    members = linking.buckets(stage(indexed.select("sid", "buckets"), "indexed-sets"))
+    best = linking.least_pairs(members).groupBy("a").agg(F.max_by("b", "times").alias("b"))
+    wanted = sets.select("sid", "n", "shingles").join(members.select("sid").distinct(), "sid", "left_semi")
+    full = stage(wanted, "shared-sets")
+    return linking.set_components(members, stage(best, "best-pairs"), full.select("sid", "n"), full, 80, config.block_sets)
+
+
+def _components(docs: DataFrame, config: JoinConfig) -> DataFrame:
+    sets = ngram_sets(docs, config)
+    names = linking.distinct_names(sets)
+    return linking.document_components(sets, names, stage(set_roots(sets, names, config), "set-roots"))
 
 
 def near_duplicate_components(docs: DataFrame, config: JoinConfig = JoinConfig()) -> DataFrame:
@@ -305,34 +272,27 @@ def near_duplicate_components(docs: DataFrame, config: JoinConfig = JoinConfig()
     A document's set: distinct ``shingle``-word runs of its lower-cased (A-Z) words; the whole sequence if it has fewer words;
     nothing for NULL and empty texts, which are linked with nothing. Documents are linked if their sets have a Jaccard
     similarity of 0.8 or more; ``component_id`` is the smallest id reachable, the document's own included. Rows that repeat
-    an id are rows of their own; a NULL id is never the smallest unless all in the component are NULL. Shingles are compared
-    by 48 bits and those that number their bucket. An empty table gives an empty one.
+    an id are rows of their own; a NULL id is never the smallest unless all in the component are NULL. Ids may be of any type
+    that can be ordered. Very long texts are read whole. Shingles are compared by 48 bits and those that number their bucket.
+    Other columns are not looked at; an empty table gives an empty one.
     """
-    sets = ngram_sets(docs, config)
-    roots = linked_sets(sets, config)
-    named = (
-        sets.select("ids", "n", "k1", "k2", F.array_min("ids").alias("least"))
-        .join(roots.select(F.col("node").alias("k1"), "root"), "k1", "left")
-        .withColumn("g1", F.coalesce("root", "k1"))
-        .withColumn("g2", F.when(F.col("root").isNull(), F.col("k2")).otherwise(F.lit(0)))
-        .drop("k1", "k2", "root")
-    )
-    named = stage(named, "named-sets")
-    least = named.filter("n > 0").groupBy("g1", "g2").agg(F.min("least").alias("component_id"))
-    return (
-        named.join(least, ["g1", "g2"], "left")
-        .select(F.explode("ids").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).alias("component_id"))
-        .withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    )
+    return _components(docs, config).select(F.col("doc.id").alias("doc_id"), "n_shingles", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, config: JoinConfig = JoinConfig()) -> DataFrame:
-    """One document of each component stays, the one with the smallest id; rows with a NULL id all stay.
+    """One row of each component stays: of those with the smallest id the one with the least text name, and of equal rows one.
 
-    Of rows that repeat an id one stays. Columns stay as they are.
+    Rows with a NULL id and rows without words all stay. Columns stay as they are, whatever their names.
     """
-    keep = stage(near_duplicate_components(docs, config).filter("doc_id = component_id").groupBy("doc_id").count(), "kept-ids")
-    kept = docs.join(keep.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("_id")), F.col("doc_id") == F.col("_id"), "left_semi")
-    if not keep.filter("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id IS NULL"))
+    rows = _components(docs.filter("doc_id IS NOT NULL"), config).filter("n_shingles > 0 AND doc.id = component_id")
+    texts = rows.groupBy("root", "component_id", "doc.name").agg(F.count("*").alias("times"))
+    first = texts.groupBy("root", "component_id").agg(F.min("name").alias("name"), F.min_by("times", "name").alias("times"))
+    key, name, times = (f"{c}_{uuid.uuid4().hex}" for c in ("key", "name", "times"))
+    first = stage(first.select(F.col("component_id").alias(key), F.col("name").alias(name), F.col("times").alias(times)), "kept-rows")
+    worded = F.regexp_like(F.coalesce("text", F.lit("")), F.lit("[^\\x20\\x09-\\x0D]"))
+    same = (F.col("doc_id") == F.col(key)) & (F.xxhash64("text") == F.col(name))
+    found = docs.filter(worded & F.col("doc_id").isNotNull()).join(first, same)
+    single = found.filter(F.col(times) == 1).select(*docs.columns)
+    several = found.filter(F.col(times) > 1).dropDuplicates([key, name]).select(*docs.columns)
+    kept = single if first.filter(F.col(times) > 1).isEmpty() else single.unionByName(several)
+    return kept.unionByName(docs.filter(~worded | F.col("doc_id").isNull()))

@@ -6,6 +6,7 @@ at document borders and holds some megabytes; a single longer document is a slic
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import cache
 
@@ -39,18 +40,30 @@ def _byte_values() -> np.ndarray:
 
 
 _powers: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+KEPT_POWERS = 4 << 20
 
 
 def powers(n: int, which: str) -> np.ndarray:
-    """BASE**i ("up") or BASE**-i ("down") for i < n; kept for the next slice."""
+    """BASE**i ("up") or BASE**-i ("down") for i < n; kept for the next slice, but not for a very long one."""
     have = _powers[which]
     if len(have) < n:
         step = np.full(max(n, 1 << 20), BASE if which == "up" else INVERSE, np.uint64)
         step[0] = 1
-        have = _powers[which] = np.multiply.accumulate(step)
+        have = np.multiply.accumulate(step)
+        if n <= KEPT_POWERS:
+            _powers[which] = have
     return have[:n]
 
 
+def release() -> None:
+    """Give freed memory back to the system. Workers outlive their tasks, and what they hold on to is missing elsewhere."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # no such function outside glibc
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a text column; NULL becomes an empty text."""
     if column.null_count:

@@ -19,8 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tractweave.llm.skew import hot_keys, join_in_parts
-from tractweave.operators.scale import stage
+from tractweave.operators.scale import hot_keys, join_in_parts, stage
 
 
 @dataclass(frozen=True)
@@ -220,7 +219,7 @@ def whiten(table: DataFrame, id_col: str = "vec_id", vector: str = "embedding",
     longest = distinct.agg(F.max(F.size("x"))).first()[0] or 0
     if longest > config.max_dims:
         raise ValueError(f"vectors of {longest} entries; at most {config.max_dims} are handled")
-    fit = fit_components(distinct, config)
+    fit = fit_components(distinct, config) if longest else None
     if fit is None:
         return rows.select("id", F.lit(0).cast("long").alias("deviation"), F.array().cast("array<double>").alias("whitened")).limit(0), None, 0.0
     whitened = stage(whiten_distinct(distinct, fit), "whitened-vectors")
