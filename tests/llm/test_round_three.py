@@ -11,7 +11,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tractweave.llm import components, filter_audit, minhash, skew, whitening
+from tractweave.llm import components, filter_audit, linking, minhash, ngram_join, whitening
+from tractweave.operators import scale
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -47,9 +48,10 @@ def clashing(df, *names):
 WORKERS = {
     "ngram_join": """
 raw, offsets = packed.buffers(pa.array(["a b c d e f", "a b c d e f g", "x"]))
-rows = m._packets([1, 2, 3], raw, offsets, 0, 3, m.JoinConfig()).to_pylist()
-replies = [r for row in rows for r in m._merge_bucket(pa.Table.from_pylist([row], m._PACKET), 3, 64).to_pylist()]
-assert len(m._assemble(pa.Table.from_pylist(replies, m._PACKET), 3)) == 3
+ids, schema = pa.array([1, 2, 3]), m._packet(pa.int64())
+rows = m._packets(ids, ids, raw, offsets, 0, 3, m.JoinConfig()).to_pylist()
+replies = [r for row in rows for r in m._merge_bucket(pa.Table.from_pylist([row], schema), 3, 64).to_pylist()]
+assert len(m._assemble(pa.Table.from_pylist(replies, schema), 3)) == 3
 """,
     "substring_dedup": """
 own = dict(to=-1, slice=0, hashes=b"", extra=b"", many=b"", keys=[])
@@ -143,7 +145,7 @@ def brute_whitening(vectors):
 
 def test_whitening_against_numpy(spark, sf):
     table = clashing(spark.read.parquet(f"{sf}/embeddings.parquet"), "x", "h1", "n", "whitened", "part", "id")
-    hot = table.limit(1).select(F.explode(F.sequence(F.lit(10_000), F.lit(12_500))).cast("long").alias("vec_id"), "embedding")
+    hot = table.limit(1).select(F.explode(F.expr("sequence(10000L, 12500L)")).alias("vec_id"), "embedding")
     odd = spark.createDataFrame(
         [(-1, None), (-2, [1.0, None] * 32), (-3, [float("nan")] * 64), (-4, [float("inf")] + [0.0] * 63), (-5, [1.0]), (-6, [])], "vec_id long, embedding array<float>"
     )
@@ -218,7 +220,7 @@ def brute_components(rows, shingle=4):
 @pytest.mark.parametrize("config", [minhash.MinHashConfig(), minhash.MinHashConfig(slice_bytes=30_000, block_sets=2)])
 def test_minhash_against_brute_force(spark, sf, awkward, config):
     near = spark.read.parquet(f"{sf}/documents.parquet").select((F.col("doc_id") + 100).alias("doc_id"), "text")
-    docs = clashing(awkward.select("doc_id", "text").unionByName(near), "name", "sid", "n", "home", "ids", "bands")
+    docs = clashing(awkward.select("doc_id", "text").unionByName(near), "name", "sid", "n", "home", "docs", "buckets")
     want = brute_components([tuple(r) for r in docs.select("doc_id", "text").collect()])
     got = minhash.minhash_components(docs, config)
     assert got.columns == ["doc_id", "n_shingles", "component_id", "kept"]
@@ -238,7 +240,7 @@ def near_copies(n, edits, seed=5):
 
 def test_minhash_in_large_buckets(spark, monkeypatch):
     rows = near_copies(250, 9)  # many pairs on both sides of the limit, buckets of several blocks
-    monkeypatch.setattr(skew, "HOT_ROWS", 20)
+    monkeypatch.setattr(scale, "HOT_ROWS", 20)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = minhash.minhash_components(docs, minhash.MinHashConfig(block_sets=32)).collect()
     assert sorted(map(tuple, got), key=str) == brute_components(rows)
@@ -263,7 +265,7 @@ def test_signatures_estimate_similarity():
 
 @pytest.mark.parametrize("hot", [1000, 3])
 def test_components(spark, monkeypatch, hot):
-    monkeypatch.setattr(skew, "HOT_ROWS", hot)
+    monkeypatch.setattr(scale, "HOT_ROWS", hot)
     rng = np.random.default_rng(2)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 300, (180, 2))] + [(1000, 1000 + i) for i in range(1, 60)] + [(2000 + i, 2001 + i) for i in range(40)]
     root = {x: x for pair in links for x in pair}
@@ -279,3 +281,48 @@ def test_components(spark, monkeypatch, hot):
     want = {x: find(x) for x in root if any(find(x) == find(y) for y in root if y != x)}
     got = components.connected_components(spark.createDataFrame(links, "a long, b long"))
     assert {r.node: r.root for r in got.collect()} == want
+
+
+# 9: rows, not ids, and pairs, not groups
+def test_near_duplicate_rows_with_repeated_ids(spark):
+    other, third = " ".join(f"x{i}" for i in range(50)), " ".join(f"y{i}" for i in range(50))
+    schema = "doc_id long, text string, name string"
+
+    def left(rows):
+        return sorted((r.doc_id, r.text) for r in ngram_join.drop_near_duplicates(spark.createDataFrame([(*r, "old") for r in rows], schema)).collect())
+
+    assert left([(3, COPY), (5, COPY), (5, other)]) == [(3, COPY), (5, other)]
+    assert left([(5, COPY), (5, other), (7, third)]) == sorted([(5, COPY), (5, other), (7, third)])
+    assert left([(5, COPY), (5, COPY), (5, COPY + " end"), (6, None), (6, None)])[0][0] == 5
+    assert len(left([(5, COPY), (5, COPY), (5, COPY + " end"), (6, ""), (6, "")])) == 3
+
+
+def test_ngram_join_ids_of_text(spark):
+    rows = [("b", COPY), ("a", COPY), ("c", None), (None, "x y")]
+    got = ngram_join.near_duplicate_components(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {("b", "a"), ("a", "a"), ("c", "c"), (None, None)}
+
+
+def test_templates_are_not_compared_all_with_all(spark):
+    """Documents of 10 passages from 200 share entries in chains, but no two are linked."""
+    rng = np.random.default_rng(11)
+    passages = [" ".join(f"s{i}w{j}" for j in range(60)) for i in range(200)]
+    rows = [(i, " ".join(passages[k] for k in rng.choice(200, 10, replace=False))) for i in range(800)]
+    sets = ngram_join.ngram_sets(spark.createDataFrame(rows, "doc_id long, text string"))
+    names = linking.distinct_names(sets)
+    members = linking.buckets(sets.filter("buckets IS NOT NULL").select("sid", "buckets"))
+    entries = sets.filter("buckets IS NOT NULL").select(F.sum(F.size("buckets"))).first()[0]
+    compared = linking.in_blocks(members.withColumn("root", F.col("sid")), linking.BLOCK_SETS).count()
+    assert compared <= entries  # a row per set and shared entry, not per pair of sets
+    assert ngram_join.set_roots(sets, names).isEmpty()
+
+
+def test_links_beyond_the_best_pair(spark):
+    """A set that two others alone share buckets with is linked with both."""
+    base = [f"w{i}" for i in range(100)]
+    one = [*base[:90], *[f"p{i}" for i in range(10)]]
+    two = [*[f"q{i}" for i in range(10)], *base[10:]]
+    rows = [(i, " ".join(x)) for i, x in enumerate([one, two, base])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for got in (minhash.minhash_components(docs), ngram_join.near_duplicate_components(docs)):
+        assert {r.component_id for r in got.collect()} == {0}
