@@ -1,7 +1,8 @@
 """Links between sets that share a bucket: the best pair of every set first, then what is left between components.
 
-``sets`` has ``sid``, ``n`` (size of the whole set), ``buckets`` (what it is indexed under); ``full`` has ``sid``, ``n`` and
-``shingles`` (sorted 64-bit values, at least those that another set has).
+``sets`` has ``sid``, ``n`` (size of the whole set), ``buckets`` (what it is indexed under) and what ``may_link`` looks at; a full
+set has ``sid``, ``n`` and ``shingles`` (sorted 64-bit values, at least those that another set has), and is fetched by ``full``
+for the sets that need it.
 
 1. Each set is held against the least set of its buckets, and the most likely of these pairs is confirmed. The links give
    components.
@@ -134,10 +135,10 @@ def links_between_components(
     members: DataFrame,
     roots: DataFrame,
     sets: DataFrame,
-    full: DataFrame,
+    full: Callable[[DataFrame], DataFrame],
     percent: int,
+    may_link: Callable[[pa.Table], np.ndarray],
     block_sets: int = BLOCK_SETS,
-    may_link: Callable[[pa.Table], np.ndarray] | None = None,
 ) -> DataFrame:
     """Links that connect sets of one bucket but different components, all of them up to connectedness.
 
@@ -160,10 +161,9 @@ def links_between_components(
     rooted = rooted.withColumn("root", F.coalesce("root", "sid"))
     mixed = rooted.groupBy("v").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("v")
     rows = stage(rooted.join(mixed, "v", "left_semi"), "open-buckets")
-    if may_link is not None:
-        seen = in_blocks(rows.join(sets.drop("buckets"), "sid"), block_sets)
-        rows = stage(seen.mapInArrow(sift, "v long, sid long, root long").distinct(), "open-sets")
-    left = in_blocks(rows.join(full.select("sid", "n", "shingles"), "sid"), block_sets)
+    seen = in_blocks(rows.join(sets.drop("buckets"), "sid"), block_sets)
+    rows = stage(seen.mapInArrow(sift, "v long, sid long, root long").distinct(), "open-sets")
+    left = in_blocks(rows.join(full(rows.select("sid").distinct()).select("sid", "n", "shingles"), "sid"), block_sets)
     return stage(left.mapInArrow(confirm, "a long, b long").distinct(), "links")
 
 
@@ -176,15 +176,15 @@ def set_components(
     members: DataFrame,
     best: DataFrame,
     sets: DataFrame,
-    full: DataFrame,
+    full: Callable[[DataFrame], DataFrame],
     percent: int,
+    may_link: Callable[[pa.Table], np.ndarray],
     block_sets: int = BLOCK_SETS,
-    may_link: Callable[[pa.Table], np.ndarray] | None = None,
 ) -> DataFrame:
     """``(node, root)`` of every set that is linked with another; ``best`` are the pairs to confirm first."""
-    links = linked_pairs(best, full, percent)
+    links = linked_pairs(best, full(best.select(F.explode(F.array("a", "b")).alias("sid")).distinct()), percent)
     roots = stage(connected_components(links), "components")
-    more = links_between_components(members, roots, sets, full, percent, block_sets, may_link)
+    more = links_between_components(members, roots, sets, full, percent, may_link, block_sets)
     if more.isEmpty():
         return roots
     return connected_components(links.unionByName(more))

@@ -206,7 +206,7 @@ def set_components(docs: DataFrame, sets: DataFrame, config: MinHashConfig) -> D
     full = full_sets(docs, sets.join(wanted.withColumnRenamed("a", "sid"), "sid", "left_semi"), config)
     best = stage(agreeing.groupBy("a").agg(F.max_by("b", "agree").alias("b")), "best-pairs")
     signed = sets.select("sid", "n", "signature")
-    return linking.set_components(members, best, signed, full, config.percent, config.block_sets, lambda group: _may_link(group, config))
+    return linking.set_components(members, best, signed, lambda _: full, config.percent, lambda group: _may_link(group, config), config.block_sets)
 
 
 def minhash_components(docs: DataFrame, config: MinHashConfig = MinHashConfig()) -> DataFrame:

@@ -10,7 +10,7 @@
      adjacent pairs in it, so one adjacent pair is the same in both. Frequent shingles are indexed in such pairs.
 3. Every set is verified with the one it shares most entries with, of the least sets of its entries; then entries whose
    sets still lie in several components are verified in blocks of bounded size (``linking``). Overlap needs the repeated
-   shingles alone.
+   shingles alone. A bitmap of a set's shingles bounds the overlap from above, so most pairs need not be counted.
 """
 
 from __future__ import annotations
@@ -63,7 +63,7 @@ def _packet(kind: pa.DataType) -> pa.Schema:
 
 
 _PACKET_SQL = "to long, slice long, hashes binary, owners binary, shared binary, counts binary, ids array<{}>, names array<long>, sizes binary, keys binary"
-_SET_SQL = "sid long, docs array<struct<id:{},name:long>>, n long, k1 long, k2 long, shingles binary, buckets array<long>"
+_SET_SQL = "sid long, docs array<struct<id:{},name:long>>, n long, k1 long, k2 long, shingles binary, repeated long, bitmap binary, buckets array<long>"
 
 
 def _packets(ids: pa.Array, names: pa.Array, raw: np.ndarray, offsets: np.ndarray, number: int, bits: int, config: JoinConfig) -> pa.RecordBatch:
@@ -173,6 +173,59 @@ def prefix_entries(n: int, tokens: np.ndarray, common: np.ndarray) -> np.ndarray
     return entries
 
 
+WORDS = 16
+"""Words of a bitmap, 64 bits each."""
+
+
+def parity_bitmap(tokens: np.ndarray) -> np.ndarray:
+    """Bits that an odd number of ``tokens`` fall on. Two bitmaps differ in no more bits than their sets in tokens."""
+    spread = packed.mixed(tokens)
+    odd = np.bincount((spread % np.uint64(64 * WORDS)).astype(np.int64), minlength=64 * WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
+def may_overlap(n: np.ndarray, repeated: np.ndarray, bits: np.ndarray, m: np.ndarray, also: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """False where two sets, of sizes ``n`` and ``m``, cannot be linked: what differs in the bitmaps is not shared."""
+    differ = np.bitwise_count(bits ^ other).sum(axis=-1).astype(np.int64)
+    return 9 * (repeated + also - differ) >= 8 * (n + m)
+
+
+def _may_link(group: pa.Table) -> np.ndarray:
+    """Sets of a block pair that may be linked with one of another component."""
+    root, n, own, repeated = (group[c].to_numpy() for c in ("root", "n", "own", "repeated"))
+    bits = np.frombuffer(b"".join(group["bitmap"].to_pylist()), np.uint64).reshape(len(group), WORDS)
+    within = group["x"][0] == group["y"][0]
+    found = np.zeros(len(group), bool)
+    for a in range(0, len(group), 64):
+        rows = slice(a, a + 64)
+        pair = root[rows, None] != root
+        if not within:
+            pair &= own[rows, None] != own
+        if pair.any():
+            pair &= may_overlap(n[rows, None], repeated[rows, None], bits[rows, None], n, repeated, bits)
+            found[rows] |= pair.any(axis=1)
+    return found
+
+
+def likely_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Stored ``(a, b)``: the pairs that the bitmaps allow."""
+
+    def compare(batches):
+        for batch in batches:
+            (n, repeated, bits), (m, also, other) = (
+                (
+                    batch.column(f"n_{side}").to_numpy(),
+                    batch.column(f"x_{side}").field("repeated").to_numpy(),
+                    np.frombuffer(b"".join(batch.column(f"x_{side}").field("bitmap").to_pylist()), np.uint64).reshape(-1, WORDS),
+                )
+                for side in "ab"
+            )
+            yield batch.select(["a", "b"]).filter(pa.array(may_overlap(n, repeated, bits, m, also, other)))
+
+    both = linking.both_sides(pairs, sets.withColumn("x", F.struct("repeated", "bitmap")), "x")
+    return stage(both.select("a", "b", "n_a", "n_b", "x_a", "x_b").mapInArrow(compare, "a long, b long"), "likely-pairs")
+
+
 def _assemble(packets: pa.Table, bits: int) -> pa.Table:
     """All sets of a slice with their repeated shingles and index entries."""
     own = packets.filter(pc.less(packets["to"], 0)).to_pylist()[0]
@@ -199,7 +252,7 @@ def _assemble(packets: pa.Table, bits: int) -> pa.Table:
     token, owner, often = token[order], owner[order], often[order]
     at = np.searchsorted(owner, np.arange(len(sizes) + 1))
     last = np.cumsum(members)
-    rows = {"sid": [], "docs": [], "n": [], "k1": [], "k2": [], "shingles": [], "buckets": []}
+    rows = {"sid": [], "docs": [], "n": [], "k1": [], "k2": [], "shingles": [], "repeated": [], "bitmap": [], "buckets": []}
     docs = [{"id": i, "name": t} for i, t in zip(own["ids"], own["names"], strict=True)]
     for s, n in enumerate(sizes.tolist()):
         mine = token[at[s] : at[s + 1]]
@@ -210,9 +263,11 @@ def _assemble(packets: pa.Table, bits: int) -> pa.Table:
         rows["k1"].append(keys[s, 0])
         rows["k2"].append(keys[s, 1])
         rows["shingles"].append(None if entries is None else np.sort(mine).tobytes())
+        rows["repeated"].append(len(mine))
+        rows["bitmap"].append(None if entries is None else parity_bitmap(mine).tobytes())
         rows["buckets"].append(None if entries is None else np.unique(entries).view(np.int64))
     document = pa.struct([("id", packets.schema.field("ids").type.value_type), ("name", pa.int64())])
-    types = [pa.int64(), pa.list_(document), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+    types = [pa.int64(), pa.list_(document), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
     return pa.Table.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), types, strict=True)], list(rows))
 
 
@@ -253,11 +308,15 @@ def ngram_sets(docs: DataFrame, config: JoinConfig = JoinConfig()) -> DataFrame:
 def set_roots(sets: DataFrame, names: DataFrame, config: JoinConfig = JoinConfig()) -> DataFrame:
     """``node`` and ``root``, both ``sid``, for every distinct set that is linked with another."""
     indexed = sets.filter("buckets IS NOT NULL").join(names.select("sid"), "sid", "left_semi")
-    members = linking.buckets(stage(indexed.select("sid", "buckets"), "indexed-sets"))
+    indexed = stage(indexed.select("sid", "n", "repeated", "bitmap", "buckets"), "indexed-sets")
+    members = linking.buckets(indexed)
     best = linking.least_pairs(members).groupBy("a").agg(F.max_by("b", "times").alias("b"))
-    wanted = sets.select("sid", "n", "shingles").join(members.select("sid").distinct(), "sid", "left_semi")
-    full = stage(wanted, "shared-sets")
-    return linking.set_components(members, stage(best, "best-pairs"), full.select("sid", "n"), full, 80, config.block_sets)
+    best = likely_pairs(stage(best, "best-pairs"), indexed)
+
+    def full(wanted: DataFrame) -> DataFrame:
+        return stage(sets.select("sid", "n", "shingles").join(wanted, "sid", "left_semi"), "full-sets")
+
+    return linking.set_components(members, best, indexed, full, 80, _may_link, config.block_sets)
 
 
 def _components(docs: DataFrame, config: JoinConfig) -> DataFrame:
