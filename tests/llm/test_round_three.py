@@ -326,3 +326,18 @@ def test_links_beyond_the_best_pair(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     for got in (minhash.minhash_components(docs), ngram_join.near_duplicate_components(docs)):
         assert {r.component_id for r in got.collect()} == {0}
+
+
+def test_bitmaps_never_deny_a_link():
+    rng = np.random.default_rng(3)
+    for n in (1, 4, 5, 40, 900, 6000):
+        for share in (0.79, 0.8, 0.85, 1.0):
+            both = round(n * 2 * share / (1 + share))
+            one, two = (np.concatenate([common, rng.integers(0, 1 << 63, n - both, np.uint64)]) for common in [rng.integers(0, 1 << 63, both, np.uint64)] for _ in "ab")
+            linked = 100 * both >= 80 * (2 * n - both)
+            sizes = [np.array([n])] * 2
+            bits = [ngram_join.parity_bitmap(x)[None] for x in (one, two)]
+            may = ngram_join.may_overlap(sizes[0], sizes[0], bits[0], sizes[1], sizes[1], bits[1])[0]
+            assert may or not linked
+    far = [ngram_join.parity_bitmap(rng.integers(0, 1 << 63, 300, np.uint64))[None] for _ in "ab"]
+    assert not ngram_join.may_overlap(np.array([300]), np.array([300]), far[0], np.array([300]), np.array([300]), far[1])[0]
