@@ -29,6 +29,11 @@ def stage_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A new path in the application's folder."""
+    return f"{stage_dir(spark)}/tractweave/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -36,7 +41,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     tables of an application lie in one folder, which can be dropped when its results are written.
     """
     spark = df.sparkSession
-    path = f"{stage_dir(spark)}/tractweave/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = stage_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

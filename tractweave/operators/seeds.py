@@ -108,6 +108,25 @@ def working_groups(df: DataFrame, occp: DataFrame, military: int = MILITARY_GROU
     return with_occupation_group(df, occp).filter(F.col("Occ_Group") != military)
 
 
+UNMATCHED, MILITARY = 1, 2
+
+
+def dropped_persons(pums: DataFrame, occp: DataFrame, pumas=None, military: int = MILITARY_GROUP) -> DataFrame:
+    """Persons that the person seed leaves out, by PUMA, kind of quarters and reason: an occupation that the code list does not have (1), the military
+    (2). The same pass counts persons of households and of group quarters.
+    """
+    rows = in_pumas(pums, pumas).select("PUMA", F.col("SERIALNO").contains(GQ_MARK).alias("in_gq"), F.col("OCCP").alias("Occupation"))
+    group = F.col("Occ_Group")
+    reason = F.when(group.isNull(), UNMATCHED).when(group == military, MILITARY)
+    return (
+        with_occupation_group(rows, occp)
+        .withColumn("reason", reason)
+        .filter("reason IS NOT NULL")
+        .groupBy("PUMA", "in_gq", "reason")
+        .agg(F.count("*").alias("persons"))
+    )
+
+
 def gq_seed(pums: DataFrame, pumas=None, breaks: Breaks = Breaks()) -> DataFrame:
     """Group-quarters persons with sex, age band and type as in the group-quarters totals."""
     return (

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tractweave.config import GQ_ATTRS, NOT_WORKING_GROUP, Breaks, canonical
 from tractweave.functions import scalars as S
 from tractweave.functions.local import small_table
+from tractweave.operators.regions import in_regions
 from tractweave.operators.scale import stage
 from tractweave.sources.characteristics import TABLE_OF
 
@@ -101,7 +102,7 @@ def apply_level_map(acs: DataFrame, level_map: DataFrame, tables: Sequence[str],
     distinct variables, are not shuffled by variable.
     """
     return (
-        acs.filter(F.col("table_id").isin(sorted(tables)) & S.in_region(F.col("GEOID"), fips))
+        in_regions(acs.filter(F.col("table_id").isin(sorted(tables))), fips)
         .join(stage(level_map, "level_map"), "variable")
         .groupBy("GEOID", "attr", "level")
         .agg(S.strict_sum(F.col("estimate") * F.col("sign")).alias("target"), F.max("sign").alias("sign"))
@@ -134,7 +135,7 @@ def gq_targets(gq: DataFrame, fips=None) -> DataFrame:
     """Group-quarters sex, age and type totals by area."""
     pairs = F.array(*[F.struct(F.lit(a).alias("attr"), F.col(a).cast("string").alias("level")) for a in GQ_ATTRS])
     return (
-        gq.filter(S.in_region(F.col("GEOID"), fips))
+        in_regions(gq, fips)
         .select("GEOID", "estimate", F.explode(pairs).alias("c"))
         .groupBy("GEOID", "c.attr", "c.level")
         .agg(S.strict_sum(F.col("estimate")).alias("target"))

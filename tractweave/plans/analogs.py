@@ -133,6 +133,12 @@ def pumas_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def state_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The crosswalk where every state numbers its PUMAs from 1."""
+    pumas = pumas_by_region(spark, sf_dir).select("COUNTYFP", "place")
+    return crosswalk(spark, sf_dir).join(pumas, "COUNTYFP").withColumn("PUMA5CE", F.col("place")).drop("place")
+
+
 def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crosswalk(spark, sf_dir).select(F.col("CTFP").alias("GEOID"))
 

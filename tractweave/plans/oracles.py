@@ -242,9 +242,9 @@ FIT_LEVELS = {
     "HH_Income": "123",
     "Sex": "12",
     "Age": "123456789",
-    "Race": "123",
+    "Race": sorted({"3", *(str(c) for _, c in S.RACE_LABELS)}),
     "Hispanic": "01",
-    "Grade": [*[f"{i:02d}" for i in range(1, 17)], "bb"],
+    "Grade": sorted({*[f"{i:02d}" for i in range(1, 17)], "bb", *S.GRADE_CODES}),
     "School_Type": ("non", "pub", "pvt"),
     "Occ_Group": [str(i) for i in range(11, 54, 2)] + ["99"],
     "GQ_Sex": "12",
@@ -286,24 +286,29 @@ def fit_chain(prefix: str, base: str, targets: str, attrs, sweeps: int = 2) -> s
 def fit_converged(prefix: str, base: str, targets: str, attrs, cfg: FitConfig = FitConfig()) -> str:
     """Weights of the sweep with the least mean relative gap, in a recursion over sweeps that ends area by area.
 
-    ``<prefix>_it`` has a row per area, household and sweep; ``<prefix>_report`` one per area.
+    ``<prefix>_it`` has a row per area and sweep, ``<prefix>_report`` one per area.
     """
     cons = _fit_base(prefix, base, targets, attrs)
-    rows = f"(SELECT b.* EXCLUDE (w), i.w, i.sweep, i.gap FROM {prefix}_it i JOIN {prefix}_w0 b USING (GEOID, SERIALNO) WHERE i.going)"
-    for i, (a, lv) in enumerate(cons):
-        rows = f"({_update(i, f'd_{a}_{lv}', rows)})"
-    miss = " + ".join(
-        f"CASE WHEN t{i} > 0 THEN abs(sum(d_{a}_{lv} * w) OVER (PARTITION BY GEOID) - t{i}) / t{i} ELSE 0 END" for i, (a, lv) in enumerate(cons)
-    )
+    # one row per area: its households' counts and weights as lists, an update is a product of two lists
+    counts = ", ".join(f"list(cast(d_{a}_{lv} AS double) ORDER BY SERIALNO) AS d{i}, any_value(t{i}) AS t{i}" for i, (a, lv) in enumerate(cons))
+    VIEWS[f"{prefix}_a"] = f"SELECT GEOID, list(SERIALNO ORDER BY SERIALNO) AS ids, {counts} FROM {prefix}_w0 GROUP BY GEOID"
+    rows = f"(SELECT a.*, i.w, i.sweep, i.gap FROM {prefix}_it i JOIN {prefix}_a a USING (GEOID) WHERE i.going)"
+    for i in range(len(cons)):
+        total = f"list_inner_product(d{i}, w)"
+        factor = f"CASE WHEN t{i} IS NOT NULL AND {total} > 0 THEN greatest(t{i}, 1e-5) / {total} ELSE 1 END"
+        rows = f"(SELECT * EXCLUDE (f) REPLACE (list_transform(list_zip(w, d{i}), lambda x: CASE WHEN x[2] > 0 THEN x[1] * f ELSE x[1] END) AS w) FROM (SELECT *, {factor} AS f FROM {rows}))"
+    miss = " + ".join(f"CASE WHEN t{i} > 0 THEN abs(list_inner_product(d{i}, w) - t{i}) / t{i} ELSE 0 END" for i in range(len(cons)))
     counted = " + ".join(f"CASE WHEN t{i} > 0 THEN 1 ELSE 0 END" for i in range(len(cons)))
     VIEWS[f"{prefix}_it"] = f"""
-SELECT GEOID, SERIALNO, w, 0 AS sweep, cast('inf' AS double) AS gap, false AS converged, true AS going FROM {prefix}_w0
+SELECT GEOID, list_transform(ids, lambda x: cast(1 AS double)) AS w, 0 AS sweep, cast('inf' AS double) AS gap, false AS converged, true AS going FROM {prefix}_a
 UNION ALL
-SELECT GEOID, SERIALNO, w, sweep + 1, new_gap, abs(gap - new_gap) < {cfg.tol}, abs(gap - new_gap) >= {cfg.tol} AND sweep + 1 < {cfg.max_iter}
+SELECT GEOID, w, sweep + 1, new_gap, abs(gap - new_gap) < {cfg.tol}, abs(gap - new_gap) >= {cfg.tol} AND sweep + 1 < {cfg.max_iter}
 FROM (SELECT *, ({miss}) / greatest({counted}, 1) AS new_gap FROM {rows})"""
     VIEWS[f"{prefix}_best"] = f"""
-SELECT GEOID, sweep FROM (SELECT DISTINCT GEOID, sweep, gap FROM {prefix}_it WHERE sweep > 0) QUALIFY row_number() OVER (PARTITION BY GEOID ORDER BY round(gap, 9), sweep) = 1"""
-    VIEWS[f"{prefix}_fin"] = f"SELECT b.* EXCLUDE (w), i.w FROM {prefix}_it i JOIN {prefix}_best USING (GEOID, sweep) JOIN {prefix}_w0 b USING (GEOID, SERIALNO)"
+SELECT GEOID, sweep FROM {prefix}_it WHERE sweep > 0 QUALIFY row_number() OVER (PARTITION BY GEOID ORDER BY round(gap, 9), sweep) = 1"""
+    VIEWS[f"{prefix}_fin"] = f"""
+SELECT b.* EXCLUDE (w), f.w FROM (SELECT GEOID, unnest(ids) AS SERIALNO, unnest(i.w) AS w FROM {prefix}_it i JOIN {prefix}_best USING (GEOID, sweep) JOIN {prefix}_a USING (GEOID)) f
+JOIN {prefix}_w0 b USING (GEOID, SERIALNO)"""
     unreachable = " + ".join(f"CASE WHEN t{i} > 0 AND max(d_{a}_{lv}) = 0 THEN 1 ELSE 0 END" for i, (a, lv) in enumerate(cons))
     VIEWS[f"{prefix}_report"] = f"""
 SELECT GEOID, sweeps, gap, converged, unreachable

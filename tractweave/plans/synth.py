@@ -9,20 +9,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tractweave.config import GQ_ATTRS, HH_ATTRS, MILITARY_GROUP, P_ATTRS, SynthConfig
-from tractweave.operators.areas import area_pools, area_pumas
+from tractweave.operators.areas import area_outcomes, area_pools, area_pumas
 from tractweave.operators.draw import draw_households, expand_persons
 from tractweave.operators.gq import append_gq, gq_clean, gq_marginals
 from tractweave.operators.scale import stage
 from tractweave.operators.targets import subtract_gq
+from tractweave.operators.validate import drawn_counts, generated_counts
 from tractweave.operators.weights import Fit, fit_weights
 
 
 class Population(NamedTuple):
-    """persons: the result; fit: weights and per-area report; targets: what was aimed at, with any shortfall."""
+    """persons: the result; fit: weights and per-area report; targets: what was aimed at, with any shortfall; counts:
+    ``(GEOID, attr, level, gen)`` of the persons, from the draws and not from the expanded rows; outcomes: areas without result and
+    why (``area_outcomes``)."""
 
     persons: DataFrame
     fit: Fit
     targets: DataFrame
+    counts: DataFrame
+    outcomes: DataFrame
 
 
 def synth_gq(
@@ -84,9 +89,13 @@ def synth_population(
     fit = fit_weights(area_pool, pool_pumas, hh_seed, hh_attrs, targets, person_seed, p_attrs, cfg.fit)
     draws = stage(draw_households(fit, cfg.draw), "draws")
     persons = expand_persons(draws, person_seed, attrs, cfg.draw, hh_seed)
+    counts = drawn_counts(draws, hh_seed, person_seed, hh_attrs, p_attrs)
     if gq_pop is not None:
-        persons = append_gq(persons, gq_clean(gq_pop, occp, attrs, breaks=cfg.breaks, military=military))
-    return Population(persons, fit, targets)
+        gq_persons = gq_clean(gq_pop, occp, attrs, breaks=cfg.breaks, military=military)
+        persons = append_gq(persons, gq_persons)
+        counts = counts.unionByName(generated_counts(gq_persons, attrs))
+    outcomes = area_outcomes(areas, crosswalk, targets, hh_seed, person_seed, n_chars)
+    return Population(persons, fit, targets, counts, outcomes)
 
 
 def write_population(persons: DataFrame, path: str, county_chars: int = 5) -> None:

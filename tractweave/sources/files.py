@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tractweave.functions import scalars as S
+from tractweave.functions.local import small_table
 from tractweave.sources.characteristics import acs_tables, pums_columns
 
 # 1-based first and last character of each field, and segment column positions.
@@ -30,6 +34,7 @@ ACS_SCHEMA = "GEOID string, variable string, estimate double"
 CROSSWALK_SCHEMA = "STATEFP string, COUNTYFP string, TRACTCE string, PUMA5CE string"
 CODELIST_SCHEMA = "Code string, Code2 string, Description string"
 DICTIONARY_SCHEMA = "name string, label string, concept string"
+VERSION_SCHEMA = "number long, folder string"
 
 # States by their two letters, with their numbers.
 STATE_FIPS = {
@@ -42,6 +47,23 @@ STATE_FIPS = {
 }
 
 
+def state_number(state: Column) -> Column:
+    """Two-digit number of a state given by its letters or its number; NULL for anything else. Partition folders named by
+    numbers are read as whole numbers, without the leading zero."""
+    known = F.create_map(*[F.lit(x) for pair in STATE_FIPS.items() for x in pair])
+    text = F.upper(F.trim(state.cast("string")))
+    return F.coalesce(F.try_element_at(known, text), F.when(text.rlike("^[0-9]{1,2}$"), F.lpad(text, 2, "0")))
+
+
+def _number_of(state: str) -> str:
+    text = str(state).strip().upper()
+    if text in STATE_FIPS:
+        return STATE_FIPS[text]
+    if text.isdigit() and len(text) <= 2:
+        return text.zfill(2)
+    raise ValueError(f"unknown state: {state!r}")
+
+
 def _state_of(path: Column) -> Column:
     """State of a file named by its two letters and then a digit or ``geo``, upper case; NULL for all other names."""
     code = F.upper(F.regexp_extract(path, r"(?i)/([a-z]{2})(?:geo|[0-9])[^/]*$", 1))
@@ -126,7 +148,7 @@ def read_pums(
     spark: SparkSession,
     path: str,
     chars: Sequence[str],
-    states: Sequence[str] | None = None,
+    states: Sequence[str] | DataFrame | None = None,
     year: int | None = None,
     survey: str | None = None,
     fmt: str = "parquet",
@@ -135,7 +157,9 @@ def read_pums(
     """Microdata columns of the requested characteristics; ``PUMA`` holds state and PUMA (``puma_key``).
 
     ``state``, ``year`` and ``survey`` are columns of the data set, normally its partition directories; a filter on a column
-    that is not there is an error. The state of a row is its ``ST`` or ``state`` column, or the argument ``state`` (two
+    that is not there is an error. States go by letters or numbers, whichever the data have; an unknown one in a list is an
+    error. ``states`` may be a frame with a ``state`` column: partitions of other states are then
+    pruned when the frame is known. The state of a row is its ``ST`` or ``state`` column, or the argument ``state`` (two
     letters) for data of one state. Rows of an unknown state have no PUMA.
     """
     schema = f"{PUMS_SCHEMA}, ST string, state string, year int, survey string"
@@ -149,8 +173,7 @@ def read_pums(
     elif names[-1] == "ST":
         number = F.col("ST")
     else:
-        known = F.create_map(*[F.lit(x) for pair in STATE_FIPS.items() for x in pair])
-        number = F.coalesce(F.try_element_at(known, F.upper("state")), F.when(F.col("state").rlike("^[0-9]{1,2}$"), F.col("state")))
+        number = state_number(F.col("state"))
     return select_pums(rows.withColumn("PUMA", S.puma_key(number, F.col("PUMA"))), chars)
 
 
@@ -163,7 +186,7 @@ def read_acs(
     path: str,
     chars: Sequence[str],
     level: str,
-    states: Sequence[str] | None = None,
+    states: Sequence[str] | DataFrame | None = None,
     year: int | None = None,
     survey: str | None = None,
     fmt: str = "parquet",
@@ -180,11 +203,16 @@ def select_acs(acs: DataFrame, chars: Sequence[str]) -> DataFrame:
 
 
 def _partitions(df: DataFrame, states, year, survey) -> DataFrame:
-    if states is not None:
-        df = df.filter(F.col("state").isin(list(states)))
     if year is not None:
         df = df.filter(F.col("year") == year)
-    return df if survey is None else df.filter(F.col("survey") == survey)
+    if survey is not None:
+        df = df.filter(F.col("survey") == survey)
+    if states is None:
+        return df
+    if isinstance(states, DataFrame):
+        wanted = states.select(state_number(F.col("state")).alias("_wanted")).distinct()
+        return df.join(wanted, state_number(F.col("state")) == F.col("_wanted"), "left_semi")
+    return df.filter(state_number(F.col("state")).isin([_number_of(s) for s in states]))
 
 
 def read_crosswalk(spark: SparkSession, path: str) -> DataFrame:
@@ -200,13 +228,33 @@ def read_dictionary(spark: SparkSession, path: str, fmt: str = "csv") -> DataFra
     return _table(spark, path, DICTIONARY_SCHEMA, fmt, ["name", "label", "concept"])
 
 
+def _versions(spark: SparkSession, path: str) -> Row | None:
+    """The latest version of a saved lookup, None if there is none."""
+    try:
+        return spark.read.schema(VERSION_SCHEMA).json(f"{path}/versions").orderBy(F.desc("number"), F.desc("folder")).first()
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def save_lookup(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    """Save a new version of a lookup. Its rows go to a folder of their own, and the one small file that names the folder is
+    written last: if the write dies, readers go on with the version before. Older versions stay until somebody deletes them.
+    """
+    spark, folder = df.sparkSession, uuid.uuid4().hex
+    before = _versions(spark, path)
+    df.write.parquet(f"{path}/data/{folder}")
+    number = before.number + 1 if before else 1
+    pointer = small_table(spark, {"number": pa.array([number], pa.int64()), "folder": [folder]}, VERSION_SCHEMA)
+    pointer.coalesce(1).write.mode("append").json(f"{path}/versions")
 
 
 def load_lookup(spark: SparkSession, path: str) -> DataFrame:
-    """A saved lookup. Parquet sizes are known to the planner, which broadcasts it only when it is small."""
-    return spark.read.parquet(path)
+    """The latest version of a saved lookup, or a plain Parquet folder. Parquet sizes are known to the planner, which
+    broadcasts it only when it is small."""
+    version = _versions(spark, path)
+    return spark.read.parquet(f"{path}/data/{version.folder}" if version else path)
 
 
 def gq_cells_long(segment: DataFrame) -> DataFrame:
