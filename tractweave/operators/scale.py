@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -38,7 +39,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage so that a lost executor costs one stage, and gives the planner a true size for later joins. All
-    tables of an application lie in one folder, which can be dropped when its results are written.
+    tables of an application lie in one folder; ``drop_stage`` deletes it when the results are written.
     """
     spark = df.sparkSession
     path = stage_path(spark, name)
@@ -46,6 +47,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_stage(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete staged tables, or without any all that the application has staged. What still reads them fails."""
+    if tables:
+        folders = {os.path.dirname(f) for df in tables for f in df.inputFiles()}
+    else:
+        folders = {f"{stage_dir(spark)}/tractweave/{spark.sparkContext.applicationId}"}
+    for folder in folders:
+        if f"/tractweave/{spark.sparkContext.applicationId}" not in folder:
+            raise ValueError(f"{folder} is not a staged table of this application")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
