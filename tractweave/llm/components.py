@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tractweave.operators.scale import hot_keys, join_in_parts, stage
+from tractweave.operators.scale import drop_stage, hot_keys, join_in_parts, stage
 
 
 def _with_least(edges: DataFrame, own: bool, most: int) -> DataFrame:
@@ -36,6 +36,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         # small-star: a node and its smaller neighbours are hung on the least of them
         hung = _with_least(large, False, most)
         small = hung.selectExpr("b AS a", "m AS b").unionByName(hung.selectExpr("a", "m AS b")).filter("a <> b")
-        edges = stage(small.selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct(), "links")
+        before, edges = edges, stage(small.selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct(), "links")
+        drop_stage(edges.sparkSession, before)
     roots = edges.selectExpr("a AS node", "b AS root")
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())

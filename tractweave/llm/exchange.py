@@ -44,6 +44,16 @@ def unpack(data: bytes) -> np.ndarray:
     return out.view(np.uint64).reshape(-1)
 
 
+def pack_counts(counts: np.ndarray) -> bytes:
+    """Counts in the least bytes that hold the largest; the first byte tells how many."""
+    kind = next(k for k in (np.uint8, np.uint16, np.uint32) if not len(counts) or counts.max() <= np.iinfo(k).max)
+    return bytes([np.dtype(kind).itemsize]) + counts.astype(kind).tobytes()
+
+
+def unpack_counts(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"u{data[0]}", offset=1).astype(np.int64)
+
+
 def folded(hashes: np.ndarray, bits: int) -> np.ndarray:
     """Hashes as they are compared: the leading ``bits``, then the last 48."""
     return (hashes >> np.uint64(64 - bits) << np.uint64(64 - bits)) | (hashes & np.uint64((1 << 48) - 1))

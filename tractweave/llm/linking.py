@@ -182,7 +182,8 @@ def set_components(
     block_sets: int = BLOCK_SETS,
 ) -> DataFrame:
     """``(node, root)`` of every set that is linked with another; ``best`` are the pairs to confirm first."""
-    links = linked_pairs(best, full(best.select(F.explode(F.array("a", "b")).alias("sid")).distinct()), percent)
+    wanted = best.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+    links = linked_pairs(best, full(wanted), percent)
     roots = stage(connected_components(links), "components")
     more = links_between_components(members, roots, sets, full, percent, may_link, block_sets)
     if more.isEmpty():

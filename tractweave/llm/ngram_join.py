@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tractweave.llm import exchange, linking, packed
 from tractweave.llm.shingles import document_sets, set_names
-from tractweave.operators.scale import stage
+from tractweave.operators.scale import drop_stage, stage
 
 
 @dataclass(frozen=True)
@@ -104,7 +104,7 @@ def _packets(ids: pa.Array, names: pa.Array, raw: np.ndarray, offsets: np.ndarra
             to=b,
             slice=number,
             hashes=exchange.pack(alone[x:y][by_owner]),
-            owners=np.bincount(alone_owner[x:y], minlength=len(sets)).astype(np.uint32).tobytes(),
+            owners=exchange.pack_counts(np.bincount(alone_owner[x:y], minlength=len(sets))),
             shared=exchange.pack(shared[p:q]),
             counts=shared_count[p:q].astype(np.uint32).tobytes(),
         )
@@ -141,7 +141,7 @@ def _merge_bucket(packets: pa.Table, bits: int, frequent: int) -> pa.Table:
     for number, a, s, owners in zip(packets["slice"].to_pylist(), alone, shared, packets["owners"].to_pylist(), strict=True):
         in_sets = sets[np.searchsorted(found, a)]
         again = in_sets > 1
-        per_owner = np.frombuffer(owners, np.uint32)
+        per_owner = exchange.unpack_counts(owners)
         owner = np.repeat(np.arange(len(per_owner)), per_owner)
         if not again.any() and not len(s):
             continue
@@ -302,7 +302,9 @@ def ngram_sets(docs: DataFrame, config: JoinConfig = JoinConfig()) -> DataFrame:
 
     sent = docs.select("doc_id", "text").withColumn("name", F.xxhash64("text")).mapInArrow(packets, packet)
     replies = stage(sent.groupBy("to").applyInArrow(merge, packet), "shingle-replies")
-    return stage(replies.groupBy("slice").applyInArrow(assemble, _SET_SQL.format(kind)), "shingle-sets")
+    sets = stage(replies.groupBy("slice").applyInArrow(assemble, _SET_SQL.format(kind)), "shingle-sets")
+    drop_stage(docs.sparkSession, replies)
+    return sets
 
 
 def set_roots(sets: DataFrame, names: DataFrame, config: JoinConfig = JoinConfig()) -> DataFrame:
