@@ -55,13 +55,14 @@ def state_number(state: Column) -> Column:
     return F.coalesce(F.try_element_at(known, text), F.when(text.rlike("^[0-9]{1,2}$"), F.lpad(text, 2, "0")))
 
 
-def _number_of(state: str) -> str:
+def _spellings(state: str) -> list[str]:
+    """Letters and numbers that data may name a state by."""
     text = str(state).strip().upper()
-    if text in STATE_FIPS:
-        return STATE_FIPS[text]
-    if text.isdigit() and len(text) <= 2:
-        return text.zfill(2)
-    raise ValueError(f"unknown state: {state!r}")
+    if text not in STATE_FIPS and not (text.isdigit() and len(text) <= 2):
+        raise ValueError(f"unknown state: {state!r}")
+    number = STATE_FIPS.get(text, text.zfill(2))
+    letters = [name for name, fips in STATE_FIPS.items() if fips == number]
+    return [number, str(int(number)), *letters, *map(str.lower, letters)]
 
 
 def _state_of(path: Column) -> Column:
@@ -212,7 +213,7 @@ def _partitions(df: DataFrame, states, year, survey) -> DataFrame:
     if isinstance(states, DataFrame):
         wanted = states.select(state_number(F.col("state")).alias("_wanted")).distinct()
         return df.join(wanted, state_number(F.col("state")) == F.col("_wanted"), "left_semi")
-    return df.filter(state_number(F.col("state")).isin([_number_of(s) for s in states]))
+    return df.filter(F.col("state").isin([spelling for s in states for spelling in _spellings(s)]))
 
 
 def read_crosswalk(spark: SparkSession, path: str) -> DataFrame:
