@@ -204,16 +204,16 @@ def select_acs(acs: DataFrame, chars: Sequence[str]) -> DataFrame:
 
 
 def _partitions(df: DataFrame, states, year, survey) -> DataFrame:
+    if states is not None and not isinstance(states, DataFrame):
+        df = df.filter(F.col("state").isin([spelling for s in states for spelling in _spellings(s)]))
     if year is not None:
         df = df.filter(F.col("year") == year)
     if survey is not None:
         df = df.filter(F.col("survey") == survey)
-    if states is None:
-        return df
     if isinstance(states, DataFrame):
         wanted = states.select(state_number(F.col("state")).alias("_wanted")).distinct()
-        return df.join(wanted, state_number(F.col("state")) == F.col("_wanted"), "left_semi")
-    return df.filter(F.col("state").isin([spelling for s in states for spelling in _spellings(s)]))
+        df = df.join(wanted, state_number(F.col("state")) == F.col("_wanted"), "left_semi")
+    return df
 
 
 def read_crosswalk(spark: SparkSession, path: str) -> DataFrame:
