@@ -205,7 +205,8 @@ def select_acs(acs: DataFrame, chars: Sequence[str]) -> DataFrame:
 
 def _partitions(df: DataFrame, states, year, survey) -> DataFrame:
     if states is not None and not isinstance(states, DataFrame):
-        df = df.filter(F.col("state").isin([spelling for s in states for spelling in _spellings(s)]))
+        spellings = [spelling for s in states for spelling in _spellings(s)]
+        df = df.filter(F.col("state").isNotNull() & F.col("state").isin(spellings))
     if year is not None:
         df = df.filter(F.col("year") == year)
     if survey is not None:
