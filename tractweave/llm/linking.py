@@ -6,8 +6,10 @@ for the sets that need it.
 
 1. Each set is held against the least set of its buckets, and the most likely of these pairs is confirmed. The links give
    components.
-2. Only buckets that still hold several components are compared further, in blocks of bounded size. Pairs are never listed,
-   pairs inside a component are not asked for, and no bucket has a limit.
+2. Only buckets that still hold several components are looked at further, in blocks of bounded size: ``may_link`` tells which
+   sets of different components are worth counting. Such sets form groups, and groups are compared as full sets, in blocks
+   again; so a full set is sent for its group, not for every bucket it lies in. Pairs are never listed, pairs inside a component
+   are not asked for, and neither buckets nor groups have a limit.
 """
 
 from __future__ import annotations
@@ -108,6 +110,20 @@ def in_blocks(members: DataFrame, block_sets: int) -> DataFrame:
     )
 
 
+def flooded(links: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix of links the first row that it reaches."""
+    m = len(links)
+    root = np.full(m, -1)
+    for s in range(m):
+        if root[s] < 0:
+            reached = edge = np.arange(m) == s
+            while edge.any():
+                edge = links[edge].any(axis=0) & ~reached
+                reached = reached | edge
+            root[reached] = s
+    return root
+
+
 def _block_links(group: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Of a block pair's sets, (set, first set reached) over any number of links between full sets."""
     ids, first = np.unique(group["sid"].to_numpy(), return_index=True)
@@ -120,15 +136,7 @@ def _block_links(group: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]
     several = np.bincount(run, minlength=1)[run] > 1
     shared = overlaps(np.unique(run[several], return_inverse=True)[1], owner[several], m)
     links = 100 * shared >= percent * (sizes[:, None] + sizes - shared)
-    root = np.full(m, -1)
-    for s in range(m):
-        if root[s] < 0:
-            reached = edge = np.arange(m) == s
-            while edge.any():
-                edge = links[edge].any(axis=0) & ~reached
-                reached = reached | edge
-            root[reached] = s
-    return ids, ids[root]
+    return ids, ids[flooded(links)]
 
 
 def links_between_components(
@@ -142,13 +150,15 @@ def links_between_components(
 ) -> DataFrame:
     """Links that connect sets of one bucket but different components, all of them up to connectedness.
 
-    ``may_link`` tells from what ``sets`` has which sets of a block may be linked with one of another component; only those
-    are compared as full sets. It must not leave out a link.
+    ``may_link`` tells from what ``sets`` has which sets of a block may be linked, though of different components, as a matrix.
+    It must not leave out a link.
     """
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, ["v", "x", "y"]):
-            yield from group.select(["v", "sid", "root"]).filter(pa.array(may_link(group))).to_batches()
+            ids, root = group["sid"].to_numpy(), flooded(may_link(group))
+            other = root != np.arange(len(ids))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[other]), pa.array(ids[root[other]])], ["a", "b"])
         packed.release()
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,8 +172,10 @@ def links_between_components(
     mixed = rooted.groupBy("v").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("v")
     rows = stage(rooted.join(mixed, "v", "left_semi"), "open-buckets")
     seen = in_blocks(rows.join(sets.drop("buckets"), "sid"), block_sets)
-    rows = stage(seen.mapInArrow(sift, "v long, sid long, root long").distinct(), "open-sets")
-    left = in_blocks(rows.join(full(rows.select("sid").distinct()).select("sid", "n", "shingles"), "sid"), block_sets)
+    worth = connected_components(seen.mapInArrow(sift, "a long, b long").distinct())
+    rows = worth.select(F.col("node").alias("sid"), F.col("root").alias("v")).join(roots.withColumnRenamed("node", "sid"), "sid", "left")
+    rows = stage(rows.withColumn("root", F.coalesce("root", "sid")), "open-sets")
+    left = in_blocks(rows.join(full(rows.select("sid")).select("sid", "n", "shingles"), "sid"), block_sets)
     return stage(left.mapInArrow(confirm, "a long, b long").distinct(), "links")
 
 

@@ -179,12 +179,12 @@ def agreeing_pairs(pairs: DataFrame, sets: DataFrame, config: MinHashConfig) ->
 
 
 def _may_link(group: pa.Table, config: MinHashConfig) -> np.ndarray:
-    """Sets of a block pair that may be linked with one of another component."""
+    """Pairs of a block pair's sets that may be linked and are not of one component."""
     m = len(group)
     root, n, own = (group[c].to_numpy() for c in ("root", "n", "own"))
     signature = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint8).reshape(m, -1)
     within = group["x"][0] == group["y"][0]
-    found = np.zeros(m, bool)
+    found = np.zeros((m, m), bool)
     for a in range(0, m, 64):
         rows = slice(a, a + 64)
         pair = (root[rows, None] != root) & (100 * np.minimum(n[rows, None], n) >= config.percent * np.maximum(n[rows, None], n))
@@ -192,7 +192,7 @@ def _may_link(group: pa.Table, config: MinHashConfig) -> np.ndarray:
             pair &= own[rows, None] != own
         if pair.any():
             pair &= (signature[rows, None] == signature).sum(axis=2) >= config.agree
-            found[rows] |= pair.any(axis=1)
+            found[rows] = pair
     return found
 
 

@@ -191,11 +191,11 @@ def may_overlap(n: np.ndarray, repeated: np.ndarray, bits: np.ndarray, m: np.nda
 
 
 def _may_link(group: pa.Table) -> np.ndarray:
-    """Sets of a block pair that may be linked with one of another component."""
+    """Pairs of a block pair's sets that may be linked and are not of one component."""
     root, n, own, repeated = (group[c].to_numpy() for c in ("root", "n", "own", "repeated"))
     bits = np.frombuffer(b"".join(group["bitmap"].to_pylist()), np.uint64).reshape(len(group), WORDS)
     within = group["x"][0] == group["y"][0]
-    found = np.zeros(len(group), bool)
+    found = np.zeros((len(group), len(group)), bool)
     for a in range(0, len(group), 64):
         rows = slice(a, a + 64)
         pair = root[rows, None] != root
@@ -203,7 +203,7 @@ def _may_link(group: pa.Table) -> np.ndarray:
             pair &= own[rows, None] != own
         if pair.any():
             pair &= may_overlap(n[rows, None], repeated[rows, None], bits[rows, None], n, repeated, bits)
-            found[rows] |= pair.any(axis=1)
+            found[rows] = pair
     return found
 
 
