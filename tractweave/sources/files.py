@@ -208,9 +208,9 @@ def _partitions(df: DataFrame, states, year, survey) -> DataFrame:
         spellings = [spelling for s in states for spelling in _spellings(s)]
         df = df.filter(F.col("state").isNotNull() & F.col("state").isin(spellings))
     if year is not None:
-        df = df.filter(F.col("year") == year)
+        df = df.filter(F.col("year").isNotNull() & (F.col("year") == year))
     if survey is not None:
-        df = df.filter(F.col("survey") == survey)
+        df = df.filter(F.col("survey").isNotNull() & (F.col("survey") == survey))
     if isinstance(states, DataFrame):
         wanted = states.select(state_number(F.col("state")).alias("_wanted")).distinct()
         df = df.join(wanted, state_number(F.col("state")) == F.col("_wanted"), "left_semi")
