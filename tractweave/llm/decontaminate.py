@@ -184,6 +184,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, config: Decontamination
                     rows += _rows_of(search_shard(raw[offsets[i] : offsets[j]], part, phrases), part, phrases, earlier[i:j])
                 added = [pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 5, _ARROW, strict=True)]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:width], *added], [*columns, *ADDED.names])
+                packed.release()
 
         out = out.mapInArrow(searched, schema)
     return out.drop("_hits")

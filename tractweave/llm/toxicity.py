@@ -392,6 +392,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
         for batch in batches:
             x = measure(*packed.buffers(batch.column(text_at)), model.lexicon)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.trees.score(x))], [*batch.schema.names, "score"])
+            packed.release()
 
     return docs.mapInArrow(scored, schema)
 
