@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tractweave.llm import packed
-from tractweave.llm.components import connected_components
+from tractweave.llm.components import connected_components, contract
 from tractweave.llm.shingles import overlaps
 from tractweave.operators.scale import hot_keys, join_in_parts, shuffle_width, stage
 
@@ -154,17 +154,23 @@ def links_between_components(
     It must not leave out a link.
     """
 
-    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, ["v", "x", "y"]):
             ids, root = group["sid"].to_numpy(), flooded(may_link(group))
             other = root != np.arange(len(ids))
             yield pa.RecordBatch.from_arrays([pa.array(ids[other]), pa.array(ids[root[other]])], ["a", "b"])
-        packed.release()
 
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, ["v", "x", "y"]):
             a, b = _block_links(group, percent)
             yield pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], ["a", "b"])
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from contract(sifted(batches))
+        packed.release()
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from contract(confirmed(batches))
         packed.release()
 
     rooted = members.select("v", "sid").join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left")
@@ -172,11 +178,11 @@ def links_between_components(
     mixed = rooted.groupBy("v").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("v")
     rows = stage(rooted.join(mixed, "v", "left_semi"), "open-buckets")
     seen = in_blocks(rows.join(sets.drop("buckets"), "sid"), block_sets)
-    worth = connected_components(seen.mapInArrow(sift, "a long, b long").distinct())
+    worth = connected_components(seen.mapInArrow(sift, "a long, b long"))
     rows = worth.select(F.col("node").alias("sid"), F.col("root").alias("v")).join(roots.withColumnRenamed("node", "sid"), "sid", "left")
     rows = stage(rows.withColumn("root", F.coalesce("root", "sid")), "open-sets")
     left = in_blocks(rows.join(full(rows.select("sid")).select("sid", "n", "shingles"), "sid"), block_sets)
-    return stage(left.mapInArrow(confirm, "a long, b long").distinct(), "links")
+    return stage(left.mapInArrow(confirm, "a long, b long"), "links")
 
 
 def least_pairs(members: DataFrame) -> DataFrame:
