@@ -41,6 +41,9 @@ def test_contract_keeps_what_is_connected():
         out = [tuple(r.values()) for x in components.contract(iter(batches), chunk) for r in x.to_pylist()]
         assert brute_roots(out) == brute_roots(LINKS)
     assert list(components.contract(iter([]))) == []
+    single = (pa.RecordBatch.from_pydict({"a": [i], "b": [i + 1]}) for i in range(3 * components.HELD + 5))
+    (out,) = components.contract(single)
+    assert set(out.column("b").to_pylist()) == {0} and len(out) == 3 * components.HELD + 5
 
 
 @pytest.mark.parametrize("chunk", [1 << 20, 150, 1])

@@ -18,6 +18,7 @@ from tractweave.operators.scale import drop_stage, hot_keys, join_in_parts, stag
 
 CHUNK_LINKS = 1 << 20
 """Links that a task holds at once, some 100 MB with what contracting them takes. The result does not depend on it."""
+HELD = 1000
 
 
 def least_reached(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -45,16 +46,19 @@ def contract(batches: Iterator[pa.RecordBatch], chunk: int = CHUNK_LINKS, own: b
         kept = slice(None) if own else node != root
         return pa.RecordBatch.from_arrays([pa.array(node[kept]), pa.array(root[kept])], ["a", "b"])
 
-    held, n = [], 0
+    blocks, held, n = [], [], 0
     for batch in batches:
         if len(batch):
             held.append(batch)
             n += len(batch)
+        if len(held) == HELD:  # batches may be of one link, and each is some kilobyte
+            blocks.append(pa.concat_batches(held))
+            held = []
         if n > chunk:
-            yield contracted(held)
-            held, n = [], 0
-    if held:
-        yield contracted(held)
+            yield contracted(blocks + held)
+            blocks, held, n = [], [], 0
+    if n:
+        yield contracted(blocks + held)
 
 
 def _with_least(edges: DataFrame, own: bool, most: int) -> DataFrame:

@@ -7,7 +7,7 @@
 3. Only buckets that still hold several components are compared further, in blocks of bounded size: signatures tell which
    sets may be linked with a set of another component, and these are compared as full sets. Pairs are never listed, and no
    bucket has a limit.
-4. Components of all links, by alternating large-star and small-star steps.
+4. Components of all links (``components``).
 
 Full sets are made anew from the text, for sets that have a candidate; the shingles of the others are never sent or stored.
 """
