@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -148,15 +148,18 @@ def _rows_of(shard: Shard, offsets: np.ndarray, phrases: Phrases, before: list[t
         yield b - a, int(hit.sum()), items, spans, np.packbits(hit).tobytes() if spans else b""
 
 
-def _benchmark_blocks(benchmark: DataFrame, config: DecontaminationConfig) -> Iterator[Phrases]:
-    """Items in blocks of bounded size, one at a time on the driver. NULL ids and texts without words have no windows."""
+def _benchmark_blocks(benchmark: DataFrame, config: DecontaminationConfig) -> Iterator[tuple[Phrases, bool]]:
+    """Items in blocks of bounded size, one at a time on the driver, and whether it is the last.
+
+    NULL ids and texts without words have no windows.
+    """
     items = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), "text")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // config.block_bytes))
     for k in range(blocks):
         block = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
         rows = block.toArrow().sort_by("item_id")
-        yield Phrases(rows["item_id"].to_pylist(), rows["text"].to_pylist(), config.window)
+        yield Phrases(rows["item_id"].to_pylist(), rows["text"].to_pylist(), config.window), k == blocks - 1
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, config: DecontaminationConfig = DecontaminationConfig()) -> DataFrame:
@@ -166,13 +169,24 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, config: Decontamination
     nothing is shuffled: a task indexes its rows shard by shard. NULL texts have no words; an empty benchmark hits nothing;
     item ids that repeat are one item with the windows of all its rows. Columns of these names are replaced.
     """
+    return _searched(docs, benchmark, config).drop("_hits")
+
+
+def _searched(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    config: DecontaminationConfig,
+    finish: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None,
+) -> DataFrame:
+    """``docs`` with the columns of ``ADDED``. ``finish`` gets the batches of the last block in the same pass: a pass of its
+    own would need another Python worker for every running task."""
     docs = docs.drop(*ADDED.names)
     schema = T.StructType([*docs.schema.fields, *ADDED.fields])
     width, text_at, columns = len(docs.columns), docs.columns.index("text"), docs.columns
     out = docs
-    for block in _benchmark_blocks(benchmark, config):
+    for block, last in _benchmark_blocks(benchmark, config):
 
-        def searched(batches, phrases=block):
+        def searched(batches, phrases=block, then=finish if last else None):
             for batch in batches:
                 raw, offsets = packed.buffers(batch.column(text_at))
                 earlier = [(b"", [])] * batch.num_rows
@@ -183,11 +197,12 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, config: Decontamination
                     part = offsets[i : j + 1] - offsets[i]
                     rows += _rows_of(search_shard(raw[offsets[i] : offsets[j]], part, phrases), part, phrases, earlier[i:j])
                 added = [pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 5, _ARROW, strict=True)]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:width], *added], [*columns, *ADDED.names])
+                found = pa.RecordBatch.from_arrays([*batch.columns[:width], *added], [*columns, *ADDED.names])
+                yield then(found) if then else found
                 packed.release()
 
         out = out.mapInArrow(searched, schema)
-    return out.drop("_hits")
+    return out
 
 
 _ARROW = [
@@ -206,31 +221,28 @@ def remove_passages(docs: DataFrame, benchmark: DataFrame, config: Decontaminati
     its row. ``n_chars``, if there is such a column, is counted anew for texts that were cut.
     """
     columns = docs.columns
-    found = find_passages(docs, benchmark, config)
-    schema = found.schema
-    text_at, spans_at = found.columns.index("text"), found.columns.index("spans")
-
-    def cut(batches):
-        for batch in batches:
-            spans = batch.column(spans_at)
-            if not any(len(s) for s in spans):
-                yield batch
-                continue
-            texts = []
-            for text, cuts in zip(batch.column(text_at).to_pylist(), spans.to_pylist(), strict=True):
-                if cuts:
-                    raw, kept, at = text.encode(), [], 0
-                    for c in cuts:
-                        kept.append(raw[at : c["start"]])
-                        at = c["end"]
-                    text = b"\n".join([*kept, raw[at:]]).decode()
-                texts.append(text)
-            arrays = list(batch.columns)
-            arrays[text_at] = pa.array(texts, arrays[text_at].type)
-            yield pa.RecordBatch.from_arrays(arrays, batch.schema.names)
+    kept = docs.drop(*ADDED.names).columns
+    text_at, spans_at = kept.index("text"), len(kept) + ADDED.names.index("spans")
+
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        spans = batch.column(spans_at)
+        if not any(len(s) for s in spans):
+            return batch
+        texts = []
+        for text, cuts in zip(batch.column(text_at).to_pylist(), spans.to_pylist(), strict=True):
+            if cuts:
+                raw, rest, at = text.encode(), [], 0
+                for c in cuts:
+                    rest.append(raw[at : c["start"]])
+                    at = c["end"]
+                text = b"\n".join([*rest, raw[at:]]).decode()
+            texts.append(text)
+        arrays = list(batch.columns)
+        arrays[text_at] = pa.array(texts, arrays[text_at].type)
+        return pa.RecordBatch.from_arrays(arrays, batch.schema.names)
 
     changed = F.size("spans") > 0
-    out = found.mapInArrow(cut, schema).filter(~changed | F.regexp_like("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")))
+    out = _searched(docs, benchmark, config, cut).filter(~changed | F.regexp_like("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")))
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*columns)

@@ -56,7 +56,11 @@ def powers(n: int, which: str) -> np.ndarray:
 
 
 def release() -> None:
-    """Give freed memory back to the system. Workers outlive their tasks, and what they hold on to is missing elsewhere."""
+    """Give freed memory back to the system. Workers outlive their tasks, and what they hold on to is missing elsewhere.
+
+    The kept powers go too: they are made again in a few milliseconds.
+    """
+    _powers.update(up=np.ones(1, np.uint64), down=np.ones(1, np.uint64))
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
