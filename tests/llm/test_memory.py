@@ -1,8 +1,10 @@
 """What running tasks hold at once: Python passes over a text, and arrays that idle workers keep."""
 
+import re
+
 import numpy as np
 
-from tractweave.llm import decontaminate, packed
+from tractweave.llm import decontaminate, packed, toxicity
 
 BENCHMARK = " ".join(f"item{i}" for i in range(10))
 
@@ -30,3 +32,17 @@ def test_idle_workers_keep_no_powers():
     packed.release()
     assert sum(x.nbytes for x in packed._powers.values()) < 100
     assert (packed.prefix_hashes(data) == before).all()
+
+
+def test_scores_come_back_without_texts(spark):
+    docs = spark.createDataFrame([(1, "you idiot", "en"), (2, None, "de"), (None, "fine words", "fr")], "doc_id long, text string, lang string")
+    lexicon = toxicity.Lexicon(np.zeros(0, np.uint64), np.zeros(0))
+    trees = toxicity.Trees(0.0, np.zeros((1, 1), int), np.array([[0.1]]), np.array([[-1.0, 1.0]]), np.array([-1.0, 1.0]), np.array([0.2, 0.8]))
+    model = toxicity.ToxicityModel(lexicon, trees)
+    bare, whole = (toxicity.score_toxicity(docs, model, with_text) for with_text in (False, True))
+    assert bare.columns == ["doc_id", "lang", "score"]
+    assert sorted(map(str, bare.collect())) == sorted(map(str, whole.drop("text").collect()))
+    many = spark.range(200).selectExpr("id AS doc_id", "concat('word', id) AS text")
+    table = toxicity.toxicity_table(many, many.selectExpr("doc_id", "doc_id % 2 AS toxic"))
+    plan = table._jdf.queryExecution().analyzed().toString()
+    assert re.search(r"MapInArrow scored\(.*\[doc_id#\d+L?, score#\d+\]", plan)

@@ -348,6 +348,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, config: ToxicityConfig =
                 part = batch.slice(at, 500)
                 found = [s.tobytes() for s in document_stems(*packed.buffers(part.column("text")))]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), pa.array(found, pa.binary())], ["doc_id", "toxic", "stems"])
+            packed.release()
 
     rows = sample.mapInArrow(stems_of, T.StructType([sample.schema["doc_id"], sample.schema["toxic"], T.StructField("stems", T.BinaryType())])).toArrow().sort_by("doc_id")
     if not rows.num_rows:
@@ -372,26 +373,29 @@ def _measured_sample(sample: DataFrame, lexicon: Lexicon, ids: np.ndarray) -> np
         for batch in batches:
             x = measure(*packed.buffers(batch.column("text")), lexicon)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "x"])
+            packed.release()
 
     schema = T.StructType([sample.schema["doc_id"], T.StructField("x", T.ArrayType(T.DoubleType()))])
     rows = sample.mapInArrow(features_of, schema).toArrow().sort_by("doc_id")
     return np.array(rows["x"].to_pylist(), float).reshape(len(ids), len(FEATURES))
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+def score_toxicity(docs: DataFrame, model: ToxicityModel, with_text: bool = True) -> DataFrame:
     """``docs`` with ``score`` (0 to 1, higher: likelier toxic). Every text is read whole; nothing is shuffled.
 
     NULL and empty texts are scored like a text without words. Other columns stay; a column named ``score`` is replaced.
-    Repeated rows get one score, no rows give no rows.
+    Repeated rows get one score, no rows give no rows. Unless ``with_text`` the texts do not come back from the workers.
     """
     docs = docs.drop("score")
-    schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
     text_at = docs.columns.index("text")
+    back = [k for k in range(len(docs.columns)) if with_text or k != text_at]
+    schema = T.StructType([*(docs.schema.fields[k] for k in back), T.StructField("score", T.DoubleType())])
 
     def scored(batches):
         for batch in batches:
             x = measure(*packed.buffers(batch.column(text_at)), model.lexicon)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.trees.score(x))], [*batch.schema.names, "score"])
+            arrays = [*(batch.column(k) for k in back), pa.array(model.trees.score(x))]
+            yield pa.RecordBatch.from_arrays(arrays, schema.names)
             packed.release()
 
     return docs.mapInArrow(scored, schema)
@@ -400,7 +404,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 def toxicity_table(docs: DataFrame, labels: DataFrame, config: ToxicityConfig = ToxicityConfig()) -> DataFrame:
     model = train_toxicity(docs, labels, config)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % config.fold == 0, F.lit(False))
-    return score_toxicity(docs.select("doc_id", "text"), model).select(
+    return score_toxicity(docs.select("doc_id", "text"), model, with_text=False).select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= config.reject_at).cast("int").alias("predicted")
     )
 
